@@ -101,6 +101,8 @@ def diesel_rows(
     them, since the table takes no NULL.
     """
     weekly = columns_to_long(grid, columns, DIESEL.measure, first_row=first_row)
+    # Decimal, so that the mean does not depend on the order in which tasks add up.
+    weekly = weekly.withColumn(DIESEL.measure, F.col(DIESEL.measure).cast("decimal(18,6)"))
     monthly = resample_month(
         weekly, ["geo"], "date", DIESEL.measure, since=since, spine=spine
     )

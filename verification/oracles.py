@@ -19,6 +19,12 @@ def mean(x: str) -> str:
     return f"{total(x)} / (count({x}) * 100)"
 
 
+def dec(x: str, precision: int = 10, scale: int = 4) -> str:
+    """To DECIMAL by the shortest decimal form of the double, so that a half is rounded up
+    (a direct cast rounds the binary value)."""
+    return f"CAST(CAST({x} AS VARCHAR) AS DECIMAL({precision},{scale}))"
+
+
 def growth(now: str, base: str) -> str:
     return (
         f"(CAST({now} AS DOUBLE) - CAST({base} AS DOUBLE)) / nullif(CAST({base} AS DOUBLE), 0) * 100"
@@ -35,29 +41,31 @@ def num(x: str, name: str | None = None) -> str:
 
 def monthly(geo: str, condition: str = "true") -> str:
     return f"""SELECT {ORDER_MONTH} AS month, {geo} AS geo,
-  CAST({mean("o_totalprice")} AS DECIMAL(10,4)) AS v FROM {ORDERS} WHERE {condition} GROUP BY ALL"""
+  {dec(mean("o_totalprice"))} AS v FROM {ORDERS} WHERE {condition} GROUP BY ALL"""
 
 
 def weekly(geo: str) -> str:
     return f"""SELECT CAST(date_trunc('week', l_shipdate) AS DATE) AS day, {geo} AS geo,
-  CAST({total("l_extendedprice")} / (CAST(sum(l_quantity) AS BIGINT) * 100) AS DECIMAL(10,4)) AS v
+  {dec(total("l_extendedprice") + " / (CAST(sum(l_quantity) AS BIGINT) * 100)")} AS v
   FROM {ITEMS} GROUP BY ALL"""
 
 
 MEAN_OF_WEEKS = """SELECT CAST(date_trunc('month', day) AS DATE) AS month, geo,
   CAST(sum(v) AS DOUBLE) / count(v) AS v FROM week_prices GROUP BY ALL"""
 
+HOUSEHOLD = "CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN o_totalprice END"
+HOUSEHOLD_SHARE = f"coalesce({total(HOUSEHOLD)}, 0) / {total('o_totalprice')} * 100"
+
 CTES = {
     "food": monthly("r_name"),
     "nations": monthly("n_name"),
     "finished": monthly("n_name", "o_orderstatus = 'F'"),
     "week_prices": weekly("r_name"),
-    "diesel": f"SELECT month, geo, CAST(v AS DECIMAL(10,4)) AS v FROM ({MEAN_OF_WEEKS})",
+    "diesel": f"SELECT month, geo, {dec("v")} AS v FROM ({MEAN_OF_WEEKS})",
     "income": f"""SELECT CAST(year(o_orderdate) AS INT) AS year, r_name AS geo,
-  CAST({mean("c_acctbal")} AS DECIMAL(12,2)) AS v FROM {ORDERS} GROUP BY ALL""",
+  {dec(mean("c_acctbal"), 12, 2)} AS v FROM {ORDERS} GROUP BY ALL""",
     "share": f"""SELECT CAST(year(o_orderdate) AS INT) AS year, r_name AS geo,
-  CAST(coalesce({total("CASE WHEN c_mktsegment = 'HOUSEHOLD' THEN o_totalprice END")}, 0)
-    / {total("o_totalprice")} * 100 AS DECIMAL(5,2)) AS v FROM {ORDERS} GROUP BY ALL""",
+  {dec(HOUSEHOLD_SHARE, 5, 2)} AS v FROM {ORDERS} GROUP BY ALL""",
     "rates": f"""SELECT month, geo, v, lag(v, 12) OVER w AS base,
   {growth("v", "lag(v, 12) OVER w")} AS pct FROM food {SERIES}""",
     "nation_rates": f"""SELECT month, geo, v, lag(v, 12) OVER w AS base,
@@ -211,10 +219,10 @@ FROM income WINDOW y AS (PARTITION BY geo ORDER BY year)""",
     ),
     "month_coverage": query(COVERAGE.format("food"), "food"),
     "annual_average": query(
-        "SELECT year, geo, round(v, 4) AS avg_hicp_food_index FROM annual", "annual"
+        f"SELECT year, geo, {num(dec('v'), 'avg_hicp_food_index')} FROM annual", "annual"
     ),
     "annual_join_income": query(
-        f"""SELECT year, geo, round(a.v, 4) AS avg_hicp_food_index, {num("i.v", "income_pps")}
+        f"""SELECT year, geo, {num(dec("a.v"), "avg_hicp_food_index")}, {num("i.v", "income_pps")}
 FROM annual a JOIN income i USING (year, geo)""",
         "annual",
         "income",
@@ -228,7 +236,7 @@ FROM annual a JOIN income i USING (year, geo) WINDOW y AS (PARTITION BY geo ORDE
     ),
     "annual_join_income_ref_year": query(
         f"""SELECT survey AS income_survey_year, ref AS income_reference_year, geo,
-  round(price, 4) AS avg_hicp_food_index, {num("pps", "income_pps")} FROM by_reference""",
+  {num(dec("price"), "avg_hicp_food_index")}, {num("pps", "income_pps")} FROM by_reference""",
         "by_reference",
     ),
     "growth_compare_ref_year": query(
@@ -448,7 +456,7 @@ QUALIFY dense_rank() OVER (PARTITION BY geo ORDER BY month DESC) <= 24""",
     ),
     "nation_extremes": query(extremes("nation_rates", "yoy_pct"), "nation_rates"),
     "gap_within_segment": f"""WITH p AS (SELECT {ORDER_MONTH} AS month, r_name AS geo,
-  c_mktsegment AS segment, CAST({mean("o_totalprice")} AS DECIMAL(10,4)) AS v
+  c_mktsegment AS segment, {dec(mean("o_totalprice"))} AS v
   FROM {ORDERS} GROUP BY ALL),
 r AS (SELECT month, geo, segment, round({growth("v", "lag(v, 12) OVER w")}, 2) AS pct,
   lag(v, 12) OVER w AS base FROM p WINDOW w AS (PARTITION BY geo, segment ORDER BY month))
@@ -480,7 +488,7 @@ FROM pairs_all GROUP BY geo""",
         "pairs_all",
     ),
     "annual_complete_years": query(
-        "SELECT year, geo, round(v, 4) AS annual_mean FROM annual WHERE n >= 12", "annual"
+        f"SELECT year, geo, {num(dec('v'), 'annual_mean')} FROM annual WHERE n >= 12", "annual"
     ),
     "upsert_last_write_wins": """SELECT c_custkey AS custkey,
   coalesce(last_price, c_acctbal) AS amount FROM customer LEFT JOIN
@@ -603,7 +611,7 @@ LEFT JOIN week_prices p ON p.day = d.day AND p.geo = r_name""",
         "week_prices",
     ),
     "grid_columns_monthly": query(
-        f"""SELECT geo, month, round(v, 4) AS price FROM (SELECT r_name AS geo,
+        f"""SELECT geo, month, {num(dec("v"), "price")} FROM (SELECT r_name AS geo,
   CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM region,
   (SELECT date_trunc('month', min(day)) AS lo, date_trunc('month', max(day)) AS hi FROM week_prices))
 LEFT JOIN ({MEAN_OF_WEEKS}) USING (geo, month)""",

@@ -400,6 +400,7 @@ def grid_columns(spark, d):
 def grid_columns_monthly(spark, d):
     """The same, resampled to months with the empty ones."""
     weekly = grid.columns_to_long(_weekly_sheet(spark, d), SHEET_COLUMNS, "price", first_row=3)
+    weekly = weekly.withColumn("price", F.col("price").cast("decimal(10,4)"))
     monthly = reshape.resample_month(weekly, ["geo"], "date", "price", spine="all")
     return monthly.withColumn("price", F.round("price", 4))
 
