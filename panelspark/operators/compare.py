@@ -25,11 +25,13 @@ def gap_vs_benchmark(
     """Every member's value beside the benchmark member's value of the same period.
 
     The benchmark is looked up by conditional aggregation instead of a filtered self join:
-    both sides then read the same exchange and the input is computed once.  Without further
+    both sides then read the same exchange and the input is computed once (the filter on the
+    member is there for that: the join would infer it for one side only).  Without further
     key columns (``within``) the lookup has one row per period, at most 12 a year whatever
     the size of the data, and is broadcast; with them its size is open and left to AQE.
     """
     on = [period, *within]
+    rates = rates.where(F.col(geo).isNotNull())
     is_benchmark = F.col(geo) == benchmark
     lookup = rates.groupBy(*on).agg(
         F.max(F.when(is_benchmark, F.col(geo))).alias("_benchmark"),

@@ -46,8 +46,11 @@ def fill_months(
     lower: Column = F.col(month)
     upper: Column = F.col(month)
     if spine == "all":
-        lower = df.select(F.min(month)).scalar()
-        upper = df.select(F.max(month)).scalar()
+        # Ends of whole rows: needing every column, they read the exchange the rows come from
+        # instead of computing the input again.
+        row = F.struct(month, *key, value)
+        lower = df.select(F.min(row)[month]).scalar()
+        upper = df.select(F.max(row)[month]).scalar()
     elif spine != "series":
         raise ValueError(f"unknown spine {spine!r}")
     window = series_window(key, month)
@@ -87,12 +90,8 @@ def pivot_panel(
 
 def in_order(df: DataFrame, column: str, members: Sequence[str], *then: str) -> DataFrame:
     """Rows of the listed members in the order of the list; a listed member without rows
-    appears once with NULLs."""
+    appears once with NULLs.  For presentation: the input has a row, or a few, per member."""
     listed = F.array(*[F.lit(m) for m in members])
-    rows = df.where(F.col(column).isin(*members))
-    found = rows.select(column).distinct()
-    names = df.sparkSession.range(1).select(F.explode(listed).alias(column))
-    absent = names.join(found, column, "left_anti")
-    return rows.unionByName(absent, allowMissingColumns=True).orderBy(
-        F.array_position(listed, F.col(column)), *then
-    )
+    names = df.sparkSession.range(1).select(F.posexplode(listed).alias("_place", column))
+    rows = names.join(df, column, "left")
+    return rows.orderBy("_place", *then).select(*df.columns)

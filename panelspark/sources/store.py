@@ -86,7 +86,8 @@ def upsert_table(
     number, loads = _current(spark, base)
     touched = {row["period_year"] for row in by_year}
     before = _read_years(spark, base, spec, {y: l for y, l in loads.items() if y in touched})
-    merged = upsert(before, ready, spec.key, [spec.measure], "_seq")
+    total = sum(row["rows"] for row in by_year)
+    merged = upsert(before, ready, spec.key, [spec.measure], "_seq", batch_rows=total)
 
     load = uuid4().hex
     # Rebalance: files of even size per year, a year that holds most rows is split over tasks.
@@ -102,4 +103,4 @@ def upsert_table(
         .coalesce(1)
         .write.json(f"{base}/current/n={number + 1}")
     )
-    return sum(row["rows"] for row in by_year)
+    return total

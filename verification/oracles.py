@@ -19,6 +19,9 @@ def mean(x: str) -> str:
     return f"{total(x)} / (count({x}) * 100)"
 
 
+# DuckDB rounds small negative numbers to -0.0; "round(...) + 0" makes them 0.0.
+
+
 def dec(x: str, precision: int = 10, scale: int = 4) -> str:
     """To DECIMAL by the shortest decimal form of the double, so that a half is rounded up
     (a direct cast rounds the binary value)."""
@@ -69,9 +72,9 @@ CTES = {
     "rates": f"""SELECT month, geo, v, lag(v, 12) OVER w AS base,
   {growth("v", "lag(v, 12) OVER w")} AS pct FROM food {SERIES}""",
     "nation_rates": f"""SELECT month, geo, v, lag(v, 12) OVER w AS base,
-  round({growth("v", "lag(v, 12) OVER w")}, 2) AS pct FROM nations {SERIES}""",
+  (round({growth("v", "lag(v, 12) OVER w")}, 2) + 0) AS pct FROM nations {SERIES}""",
     "nation_calendar": f"""SELECT a.month, a.geo, a.v, b.v AS base,
-  round({growth("a.v", "b.v")}, 2) AS pct FROM nations a LEFT JOIN nations b
+  (round({growth("a.v", "b.v")}, 2) + 0) AS pct FROM nations a LEFT JOIN nations b
   ON b.geo = a.geo AND b.month = CAST(a.month - INTERVAL 1 YEAR AS DATE)""",
     "diesel_rates": f"""SELECT month, geo, v, lag(v) OVER w AS last_v, lag(v, 12) OVER w AS base,
   {growth("v", "lag(v, 12) OVER w")} AS pct FROM diesel {SERIES}""",
@@ -84,8 +87,8 @@ CTES = {
     "by_reference": """SELECT i.year AS survey, i.year - 1 AS ref, i.geo, a.v AS price, i.v AS pps
   FROM income i JOIN annual a ON a.geo = i.geo AND a.year = i.year - 1""",
     "reference_growth": f"""SELECT survey, ref, geo,
-  round({ratio("price", "lag(price) OVER y")}, 2) AS food_pct,
-  round({ratio("pps", "lag(pps) OVER y")}, 2) AS income_pct
+  (round({ratio("price", "lag(price) OVER y")}, 2) + 0) AS food_pct,
+  (round({ratio("pps", "lag(pps) OVER y")}, 2) + 0) AS income_pct
   FROM by_reference WINDOW y AS (PARTITION BY geo ORDER BY survey)""",
     "adjusted": f"""SELECT i.ref AS reference_year, i.geo, i.pct AS ip, p.pct AS fp FROM
   (SELECT year - 1 AS ref, geo, {growth("v", "lag(v) OVER y")} AS pct FROM income
@@ -134,8 +137,8 @@ def query(body: str, *ctes: str) -> str:
 
 def correlation(x: str, y: str = "f") -> str:
     return (
-        f"round((avg({x} * {y}) - avg({x}) * avg({y}))"
-        f" / nullif(stddev_pop({x}) * stddev_pop({y}), 0), 3)"
+        f"(round((avg({x} * {y}) - avg({x}) * avg({y}))"
+        f" / nullif(stddev_pop({x}) * stddev_pop({y}), 0), 3) + 0)"
     )
 
 
@@ -145,7 +148,7 @@ def pairwise(x: str) -> str:
 
 def regimes(signal: str, up: str, down: str, flat: str, name: str, out: str, source: str) -> str:
     return f"""SELECT geo, CASE WHEN {signal} > 0 THEN '{up}' WHEN {signal} < 0 THEN '{down}'
-  ELSE '{flat}' END AS {name}, count(*) AS observations, round(avg(f), 2) AS {out}
+  ELSE '{flat}' END AS {name}, count(*) AS observations, (round(avg(f), 2) + 0) AS {out}
 FROM {source} GROUP BY ALL"""
 
 
@@ -155,7 +158,7 @@ def extremes(source: str, out: str) -> str:
   SELECT month, geo, pct,
     row_number() OVER (PARTITION BY geo ORDER BY pct DESC NULLS LAST, month) AS top,
     row_number() OVER (PARTITION BY geo ORDER BY pct ASC NULLS FIRST, month) AS bottom
-  FROM (SELECT month, geo, round(pct, 2) AS pct FROM {source} WHERE base IS NOT NULL))
+  FROM (SELECT month, geo, (round(pct, 2) + 0) AS pct FROM {source} WHERE base IS NOT NULL))
 WHERE top = 1 OR bottom = 1"""
 
 
@@ -186,26 +189,26 @@ FROM {0} GROUP BY ALL"""
 STATEMENTS = {
     "mom_change": query(
         f"""SELECT month, geo, {INDEX}, {num("lag(v) OVER w", "previous_index")},
-  round({growth("v", "lag(v) OVER w")}, 2) AS mom_change_pct FROM food {SERIES}""",
+  (round({growth("v", "lag(v) OVER w")}, 2) + 0) AS mom_change_pct FROM food {SERIES}""",
         "food",
     ),
     "yoy_change": query(
         f"""SELECT month, geo, {INDEX}, {num("base", "previous_year_index")},
-  round(pct, 2) AS yoy_change_pct FROM rates""",
+  (round(pct, 2) + 0) AS yoy_change_pct FROM rates""",
         "rates",
     ),
     "yoy_gap_vs_benchmark": query(
-        """SELECT m.month, m.geo, round(m.pct, 2) AS yoy_change_pct,
-  round(b.pct, 2) AS eu27_yoy_change_pct,
-  round(round(m.pct, 2) - round(b.pct, 2), 2) AS gap_vs_eu27_pp
+        """SELECT m.month, m.geo, (round(m.pct, 2) + 0) AS yoy_change_pct,
+  (round(b.pct, 2) + 0) AS eu27_yoy_change_pct,
+  (round((round(m.pct, 2) + 0) - (round(b.pct, 2) + 0), 2) + 0) AS gap_vs_eu27_pp
 FROM rates m JOIN rates b ON b.month = m.month AND b.geo = 'EUROPE'
 WHERE m.geo <> 'EUROPE' AND m.base IS NOT NULL AND b.base IS NOT NULL""",
         "rates",
     ),
     "yoy_extremes": query(extremes("rates", "yoy_change_pct"), "rates"),
     "yoy_summary": query(
-        """SELECT geo, round(avg(pct), 2) AS avg_yoy_pct, round(min(pct), 2) AS min_yoy_pct,
-  round(max(pct), 2) AS max_yoy_pct, round(stddev_pop(pct), 2) AS yoy_volatility
+        """SELECT geo, (round(avg(pct), 2) + 0) AS avg_yoy_pct, (round(min(pct), 2) + 0) AS min_yoy_pct,
+  (round(max(pct), 2) + 0) AS max_yoy_pct, (round(stddev_pop(pct), 2) + 0) AS yoy_volatility
 FROM rates WHERE base IS NOT NULL GROUP BY geo""",
         "rates",
     ),
@@ -213,7 +216,7 @@ FROM rates WHERE base IS NOT NULL GROUP BY geo""",
     "income_change": query(
         f"""SELECT year, geo, {num("v", "income_pps")},
   {num("v - lag(v) OVER y", "change_pps")},
-  round({ratio("v", "lag(v) OVER y")}, 2) AS income_change_pct
+  (round({ratio("v", "lag(v) OVER y")}, 2) + 0) AS income_change_pct
 FROM income WINDOW y AS (PARTITION BY geo ORDER BY year)""",
         "income",
     ),
@@ -228,8 +231,8 @@ FROM annual a JOIN income i USING (year, geo)""",
         "income",
     ),
     "growth_compare_same_year": query(
-        f"""SELECT year, geo, round({ratio("a.v", "lag(a.v) OVER y")}, 2) AS food_hicp_change_pct,
-  round({ratio("i.v", "lag(i.v) OVER y")}, 2) AS income_change_pct
+        f"""SELECT year, geo, (round({ratio("a.v", "lag(a.v) OVER y")}, 2) + 0) AS food_hicp_change_pct,
+  (round({ratio("i.v", "lag(i.v) OVER y")}, 2) + 0) AS income_change_pct
 FROM annual a JOIN income i USING (year, geo) WINDOW y AS (PARTITION BY geo ORDER BY year)""",
         "annual",
         "income",
@@ -247,48 +250,48 @@ FROM annual a JOIN income i USING (year, geo) WINDOW y AS (PARTITION BY geo ORDE
     "affordability_gap": query(
         """SELECT survey AS income_survey_year, ref AS income_reference_year, geo,
   food_pct AS food_hicp_change_pct, income_pct AS income_change_pct,
-  round(income_pct - food_pct, 2) AS affordability_gap_pp FROM reference_growth""",
+  (round(income_pct - food_pct, 2) + 0) AS affordability_gap_pp FROM reference_growth""",
         "reference_growth",
     ),
     "affordability_gap_nonnull": query(
         """SELECT ref AS income_reference_year, geo, food_pct AS food_hicp_change_pct,
-  income_pct AS income_pps_change_pct, round(income_pct - food_pct, 2) AS affordability_change_proxy_pp
+  income_pct AS income_pps_change_pct, (round(income_pct - food_pct, 2) + 0) AS affordability_change_proxy_pp
 FROM reference_growth WHERE income_pct - food_pct IS NOT NULL""",
         "reference_growth",
     ),
     "food_adjusted_income_growth": query(
-        """SELECT reference_year, geo, round(ip, 2) AS income_growth_pct,
-  round(fp, 2) AS food_hicp_growth_pct, round(ip - fp, 2) AS simple_difference_pp,
-  round(((1 + ip / 100) / nullif(1 + fp / 100, 0) - 1) * 100, 2) AS food_adjusted_income_growth_pct
+        """SELECT reference_year, geo, (round(ip, 2) + 0) AS income_growth_pct,
+  (round(fp, 2) + 0) AS food_hicp_growth_pct, (round(ip - fp, 2) + 0) AS simple_difference_pp,
+  (round(((1 + ip / 100) / nullif(1 + fp / 100, 0) - 1) * 100, 2) + 0) AS food_adjusted_income_growth_pct
 FROM adjusted""",
         "adjusted",
     ),
     "diesel_latest": query(f"SELECT month, geo, {PRICE} FROM diesel WHERE month >= {SINCE}", "diesel"),
     "diesel_mom": query(
         f"""SELECT month, geo, {PRICE}, {num("last_v", "previous_month_price")},
-  round({growth("v", "last_v")}, 2) AS mom_change_pct FROM diesel_rates WHERE month >= {SINCE}""",
+  (round({growth("v", "last_v")}, 2) + 0) AS mom_change_pct FROM diesel_rates WHERE month >= {SINCE}""",
         "diesel_rates",
     ),
     "diesel_yoy": query(
         f"""SELECT month, geo, {PRICE}, {num("base", "previous_year_price")},
-  round(pct, 2) AS yoy_change_pct FROM diesel_rates WHERE month >= {SINCE}""",
+  (round(pct, 2) + 0) AS yoy_change_pct FROM diesel_rates WHERE month >= {SINCE}""",
         "diesel_rates",
     ),
     "diesel_yoy_labelled": query(
         f"""SELECT month, geo, {PRICE}, CAST(month - INTERVAL 1 YEAR AS DATE) AS previous_year_month,
-  {num("base", "previous_year_price")}, round(pct, 2) AS yoy_change_pct
+  {num("base", "previous_year_price")}, (round(pct, 2) + 0) AS yoy_change_pct
 FROM diesel_rates WHERE month >= {SINCE}""",
         "diesel_rates",
     ),
     "diesel_vs_food_yoy": query(
-        """SELECT month, geo, round(d0, 2) AS diesel_yoy_pct, round(f, 2) AS food_hicp_yoy_pct
+        """SELECT month, geo, (round(d0, 2) + 0) AS diesel_yoy_pct, (round(f, 2) + 0) AS food_hicp_yoy_pct
 FROM pairs""",
         "pairs",
     ),
     "diesel_lags_vs_food": query(
-        """SELECT month, geo, round(d0, 2) AS diesel_yoy_pct, round(d1, 2) AS diesel_yoy_lag1,
-  round(d2, 2) AS diesel_yoy_lag2, round(d3, 2) AS diesel_yoy_lag3,
-  round(f, 2) AS food_hicp_yoy_pct FROM pairs""",
+        """SELECT month, geo, (round(d0, 2) + 0) AS diesel_yoy_pct, (round(d1, 2) + 0) AS diesel_yoy_lag1,
+  (round(d2, 2) + 0) AS diesel_yoy_lag2, (round(d3, 2) + 0) AS diesel_yoy_lag3,
+  (round(f, 2) + 0) AS food_hicp_yoy_pct FROM pairs""",
         "pairs",
     ),
     "lag_correlation": query(
@@ -320,9 +323,9 @@ FROM pairs""",
     "direction_compare_lag3": query(
         """SELECT geo, count(*) FILTER (d3 > 0) AS diesel_up_observations,
   count(*) FILTER (d3 < 0) AS diesel_down_observations,
-  round(avg(f) FILTER (d3 > 0), 2) AS avg_food_when_diesel_up,
-  round(avg(f) FILTER (d3 < 0), 2) AS avg_food_when_diesel_down,
-  round(avg(f) FILTER (d3 > 0) - avg(f) FILTER (d3 < 0), 2) AS difference_pp
+  (round(avg(f) FILTER (d3 > 0), 2) + 0) AS avg_food_when_diesel_up,
+  (round(avg(f) FILTER (d3 < 0), 2) + 0) AS avg_food_when_diesel_down,
+  (round(avg(f) FILTER (d3 > 0) - avg(f) FILTER (d3 < 0), 2) + 0) AS difference_pp
 FROM pairs GROUP BY geo""",
         "pairs",
     ),
@@ -338,14 +341,14 @@ FROM pairs""",
     ),
     "endpoint_change": query(
         f"""SELECT geo, 'CP01' AS coicop18, {num("a", "first_index")}, {num("b", "last_index")},
-  {num("b - a", "absolute_change")}, round({growth("b", "a")}, 2) AS percent_change
+  {num("b - a", "absolute_change")}, (round({growth("b", "a")}, 2) + 0) AS percent_change
 FROM (SELECT geo, arg_min(v, month) AS a, arg_max(v, month) AS b FROM food GROUP BY geo)""",
         "food",
     ),
     "abs_monthly_change": query(
         f"""SELECT month, geo, {INDEX}, {num("lag(v) OVER w", "previous_index")},
   {num("v - lag(v) OVER w", "absolute_monthly_change")},
-  round({growth("v", "lag(v) OVER w")}, 2) AS monthly_percent_change FROM food {SERIES}""",
+  (round({growth("v", "lag(v) OVER w")}, 2) + 0) AS monthly_percent_change FROM food {SERIES}""",
         "food",
     ),
     "month_gap_check": query(
@@ -373,7 +376,7 @@ FROM (SELECT geo, arg_min(v, month) AS a, arg_max(v, month) AS b FROM food GROUP
     ),
     "yoy_single_series": query(
         f"""SELECT month, geo, {INDEX}, {num("base", "previous_year_index")},
-  round(pct, 2) AS yearly_percent_change FROM rates""",
+  (round(pct, 2) + 0) AS yearly_percent_change FROM rates""",
         "rates",
     ),
     "food_preview": query(
@@ -384,7 +387,7 @@ FROM food ORDER BY month, geo LIMIT 5""",
     "adjusted_growth_by_year": query(
         "SELECT geo, "
         + ", ".join(
-            f"""max(round(((1 + ip / 100) / nullif(1 + fp / 100, 0) - 1) * 100, 2))
+            f"""max((round(((1 + ip / 100) / nullif(1 + fp / 100, 0) - 1) * 100, 2) + 0))
   FILTER (reference_year = {y}) AS "{y}\""""
             for y in range(1995, 2002)
         )
@@ -458,10 +461,10 @@ QUALIFY dense_rank() OVER (PARTITION BY geo ORDER BY month DESC) <= 24""",
     "gap_within_segment": f"""WITH p AS (SELECT {ORDER_MONTH} AS month, r_name AS geo,
   c_mktsegment AS segment, {dec(mean("o_totalprice"))} AS v
   FROM {ORDERS} GROUP BY ALL),
-r AS (SELECT month, geo, segment, round({growth("v", "lag(v, 12) OVER w")}, 2) AS pct,
+r AS (SELECT month, geo, segment, (round({growth("v", "lag(v, 12) OVER w")}, 2) + 0) AS pct,
   lag(v, 12) OVER w AS base FROM p WINDOW w AS (PARTITION BY geo, segment ORDER BY month))
 SELECT month, segment, m.geo, m.pct AS yoy_pct, b.pct AS benchmark_value,
-  round(m.pct - b.pct, 2) AS gap_pp
+  (round(m.pct - b.pct, 2) + 0) AS gap_pp
 FROM (SELECT * FROM r WHERE base IS NOT NULL AND geo <> 'EUROPE') m
 JOIN (SELECT * FROM r WHERE base IS NOT NULL AND geo = 'EUROPE') b USING (month, segment)""",
     "lag_correlation_pairwise": query(
@@ -507,7 +510,7 @@ FROM pairs_all GROUP BY geo""",
   count(*) FILTER (o_orderstatus = 'F') AS dates,
   max(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'F') AS last_day,
   count(*) FILTER (o_orderstatus <> 'O') AS numbers,
-  max(round(o_totalprice, 2)) FILTER (o_orderstatus <> 'O') AS max_amount
+  max((round(o_totalprice, 2) + 0)) FILTER (o_orderstatus <> 'O') AS max_amount
 FROM orders GROUP BY o_orderpriority""",
     "missing_by_column": query(
         """SELECT 0 AS month, 0 AS geo, count(*) - count(v) AS value,
@@ -546,7 +549,7 @@ WHERE month_gap <> 1""",
     ),
     "reconcile_sources": query(
         f"""SELECT geo, month, {num("a.v", "value_left")}, {num("b.v", "value_right")},
-  round(CAST(a.v AS DOUBLE) - CAST(b.v AS DOUBLE), 4) AS difference,
+  (round(CAST(a.v AS DOUBLE) - CAST(b.v AS DOUBLE), 4) + 0) AS difference,
   CASE WHEN b.v IS NULL THEN 'only_left' WHEN a.v IS NULL THEN 'only_right'
     WHEN a.v = b.v THEN 'match' ELSE 'differ' END AS status
 FROM nations a FULL JOIN finished b USING (geo, month)""",
@@ -555,7 +558,7 @@ FROM nations a FULL JOIN finished b USING (geo, month)""",
     ),
     "merge_sources": query(
         f"""SELECT geo, month, {num("a.v", "value_api")}, {num("b.v", "value_db")},
-  round(CAST(a.v AS DOUBLE) - CAST(b.v AS DOUBLE), 4) AS difference
+  (round(CAST(a.v AS DOUBLE) - CAST(b.v AS DOUBLE), 4) + 0) AS difference
 FROM nations a JOIN finished b USING (geo, month)""",
         "nations",
         "finished",

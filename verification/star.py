@@ -64,22 +64,29 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 def geo_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the nation and region of their customer.
 
-    No hints: the size of the customer side decides.  On a shuffled join, the partition of a
-    customer with very many orders is split by AQE.
+    Joined one table at a time, so that each is judged by its own size: customers are
+    shuffled or broadcast as their size says, nations and regions are always small.  On a
+    shuffled join, the partition of a customer with very many orders is split by AQE.
     """
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    placed = customer.join(places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-    return orders.join(placed, F.col("o_custkey") == F.col("c_custkey")).withColumn(
-        "day", F.col("o_orderdate").cast("date")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return (
+        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .withColumn("day", F.col("o_orderdate").cast("date"))
     )
 
 
 def geo_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the nation and region of their supplier."""
+    """Line items with the nation and region of their supplier, joined likewise."""
     lineitem, supplier = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "supplier")
-    placed = supplier.join(places(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
-    return lineitem.join(placed, F.col("l_suppkey") == F.col("s_suppkey")).withColumn(
-        "day", F.col("l_shipdate").cast("date")
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return (
+        lineitem.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .withColumn("day", F.col("l_shipdate").cast("date"))
     )
 
 
