@@ -30,7 +30,7 @@ DIESEL_FIRST_ROW = 3
 DIESEL_SINCE = date(2008, 1, 7)
 
 # A later document wins over an earlier one, a later cell over an earlier one.
-_ARRIVAL = F.struct("arrived", "document", "offset")
+ARRIVAL = ("arrived", "document", "offset")
 
 
 def food_index_rows(
@@ -54,7 +54,7 @@ def food_index_rows(
         "geo",
         *FOOD_CODES,
         FOOD_INDEX.measure,
-        _ARRIVAL.alias("seq"),
+        F.struct(*ARRIVAL).alias("seq"),
     )
 
 
@@ -73,7 +73,7 @@ def income_rows(
         keep=["document", "arrived"],
     )
     return cells.where(F.col("time").between(*years)).select(
-        F.col("time").cast("int").alias("year"), "geo", INCOME.measure, _ARRIVAL.alias("seq")
+        F.col("time").cast("int").alias("year"), "geo", INCOME.measure, F.struct(*ARRIVAL).alias("seq")
     )
 
 
