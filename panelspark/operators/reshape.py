@@ -12,6 +12,10 @@ from panelspark.functions.numeric import mean_of
 from panelspark.operators.growth import series_window
 
 
+# "series", "all", or the first and the last month (a scalar subquery is a Column too)
+Spine = str | tuple[Column | date | str, Column | date | str]
+
+
 def resample_month(
     df: DataFrame,
     key: Sequence[str],
@@ -19,13 +23,12 @@ def resample_month(
     value: str,
     *,
     since: date | str | None = None,
-    spine: str | None = None,
+    spine: Spine | None = None,
     month: str = "month",
 ) -> DataFrame:
     """Mean of the observations of each calendar month, ignoring missing ones.
 
-    ``spine`` adds the months without any row as NULL: ``"series"`` within the span of each
-    series, ``"all"`` within the span of the whole data, as resampling a wide frame does.
+    ``spine`` adds the months without any row as NULL, see :func:`fill_months`.
     """
     if since is not None:
         df = df.where(F.col(day) >= F.lit(str(since)).cast("date"))
@@ -36,34 +39,42 @@ def resample_month(
 
 
 def fill_months(
-    df: DataFrame, key: Sequence[str], month: str, value: str, spine: str = "series"
+    df: DataFrame, key: Sequence[str], month: str, value: str, spine: Spine = "series"
 ) -> DataFrame:
     """One row for every month of the span, NULL where there was none.
 
+    The span is ``"series"``, from the first to the last month of each series; a pair of
+    months; or ``"all"``, from the first to the last month of the data, as resampling a wide
+    frame does.  ``"all"`` looks the two months up in a second pass: give the pair if ``df``
+    is expensive to compute.  A pair must contain the months of ``df``; others raise.
+
     Each row also produces the empty months up to the next row of its series, so there is no
     calendar table and no join.
     """
-    lower: Column = F.col(month)
-    upper: Column = F.col(month)
-    if spine == "all":
-        # Ends of whole rows: needing every column, they read the exchange the rows come from
-        # instead of computing the input again.
-        row = F.struct(month, *key, value)
-        lower = df.select(F.min(row)[month]).scalar()
-        upper = df.select(F.max(row)[month]).scalar()
-    elif spine != "series":
+    own = F.col(month)
+    if spine == "series":
+        lower, upper = own, own
+    elif spine == "all":
+        lower, upper = df.select(F.min(month)).scalar(), df.select(F.max(month)).scalar()
+    elif isinstance(spine, str):
         raise ValueError(f"unknown spine {spine!r}")
+    else:
+        lower, upper = (
+            end if isinstance(end, Column) else F.lit(str(end)).cast("date") for end in spine
+        )
+        outside = F.raise_error(F.concat(F.lit("month outside the span: "), own.cast("string")))
+        df = df.withColumn(month, F.when(own.between(lower, upper), own).otherwise(outside))
     window = series_window(key, month)
     following = F.lead(month).over(window)
     is_first = F.lag(month).over(window).isNull()
-    ends = df.withColumn("_from", F.when(is_first, lower).otherwise(F.col(month))).withColumn(
+    ends = df.withColumn("_from", F.when(is_first, lower).otherwise(own)).withColumn(
         "_to", F.when(following.isNull(), upper).otherwise(F.add_months(following, -1))
     )
     months = F.sequence("_from", "_to", F.expr("interval 1 month"))
     return ends.withColumn("_month", F.explode(months)).select(
         *key,
         F.col("_month").alias(month),
-        F.when(F.col("_month") == F.col(month), F.col(value)).alias(value),
+        F.when(F.col("_month") == own, F.col(value)).alias(value),
     )
 
 

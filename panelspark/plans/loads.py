@@ -11,7 +11,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from panelspark.functions.calendar import parse_month
-from panelspark.operators.reshape import resample_month
+from panelspark.operators.reshape import Spine, resample_month
 from panelspark.schema import DIESEL, FOOD_INDEX, FOOD_SHARE, INCOME
 from panelspark.sources.cube import decode_cube, read_documents
 from panelspark.sources.grid import columns_to_long, rows_to_long
@@ -93,7 +93,7 @@ def diesel_rows(
     *,
     first_row: int = DIESEL_FIRST_ROW,
     since: date = DIESEL_SINCE,
-    spine: str | None = "all",
+    spine: Spine | None = "all",
 ) -> DataFrame:
     """The weekly sheet to monthly means per geography.
 

@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # Recording the Python line of every column expression takes longer than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

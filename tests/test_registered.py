@@ -51,7 +51,6 @@ def test_plan_has_no_pairs_no_python_and_no_unkeyed_window(spark, name):
 SCANNED_ONCE = [
     "yoy_gap_vs_benchmark",
     "gap_within_segment",
-    "resample_monthly_spine",
     "upsert_last_write_wins",
     "custom_order",
 ]

@@ -35,6 +35,14 @@ def test_spine_within_series_and_over_all(weekly):
     every = by(reshape.resample_month(weekly, ["geo"], "date", "v", spine="all"), "geo", "month")
     assert len(every) == 6
     assert every["b", date(2024, 1, 1)].v is None and every["b", date(2024, 2, 1)].v == 2.0
+    pair = reshape.resample_month(
+        weekly, ["geo"], "date", "v", spine=("2023-12-01", "2024-03-01")
+    )
+    assert by(pair, "geo", "month")["a", date(2023, 12, 1)].v is None and pair.count() == 8
+    with pytest.raises(Exception, match="month outside the span"):
+        reshape.resample_month(
+            weekly, ["geo"], "date", "v", spine=("2024-02-01", "2024-03-01")
+        ).collect()
     since = reshape.resample_month(weekly, ["geo"], "date", "v", since="2024-02-01")
     assert since.count() == 2
 

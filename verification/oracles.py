@@ -421,8 +421,8 @@ LEFT JOIN week_prices p ON p.day = d.day AND p.geo = r_name""",
     "resample_monthly_spine": query(
         NATION_MONTHS.format(
             num=num("v", "value"),
-            span="""SELECT geo, (SELECT min(month) FROM nations) AS lo,
-    (SELECT max(month) FROM nations) AS hi FROM nations GROUP BY geo""",
+            span=f"""SELECT DISTINCT geo, (SELECT min({ORDER_MONTH}) FROM orders) AS lo,
+    (SELECT max({ORDER_MONTH}) FROM orders) AS hi FROM nations""",
         ),
         "nations",
     ),
@@ -604,7 +604,7 @@ LEFT JOIN cells c USING (document, geo, month)""",
     ),
     "cube_last_periods": query(
         """SELECT document, geo, month, value FROM cells
-QUALIFY dense_rank() OVER (PARTITION BY document ORDER BY month DESC) <= 24""",
+QUALIFY dense_rank() OVER (PARTITION BY document, geo ORDER BY month DESC) <= 24""",
         "cells",
     ),
     "grid_columns": query(
@@ -616,7 +616,8 @@ LEFT JOIN week_prices p ON p.day = d.day AND p.geo = r_name""",
     "grid_columns_monthly": query(
         f"""SELECT geo, month, {num(dec("v"), "price")} FROM (SELECT r_name AS geo,
   CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM region,
-  (SELECT date_trunc('month', min(day)) AS lo, date_trunc('month', max(day)) AS hi FROM week_prices))
+  (SELECT date_trunc('month', date_trunc('week', min(l_shipdate))) AS lo,
+    date_trunc('month', date_trunc('week', max(l_shipdate))) AS hi FROM lineitem))
 LEFT JOIN ({MEAN_OF_WEEKS}) USING (geo, month)""",
         "week_prices",
     ),

@@ -71,7 +71,10 @@ def resample_monthly(spark, d):
 @operator
 def resample_monthly_spine(spark, d):
     """Monthly prices by nation with the empty months of the whole span."""
-    return reshape.fill_months(star.nation_prices(spark, d), ["geo"], "month", "value", "all")
+    prices = star.nation_prices(spark, d)
+    return reshape.fill_months(
+        prices, ["geo"], "month", "value", star.order_months(spark, d)
+    )
 
 
 @operator
@@ -378,8 +381,8 @@ def cube_metadata(spark, d):
 
 @operator
 def cube_last_periods(spark, d):
-    """The latest 24 months of each region's document."""
-    return growth.last_periods(_decoded(spark, d), ["document"], "month", 24)
+    """The latest 24 months of each series of a document."""
+    return growth.last_periods(_decoded(spark, d), ["document", "geo"], "month", 24)
 
 
 def _weekly_sheet(spark, d):
@@ -401,7 +404,8 @@ def grid_columns_monthly(spark, d):
     """The same, resampled to months with the empty ones."""
     weekly = grid.columns_to_long(_weekly_sheet(spark, d), SHEET_COLUMNS, "price", first_row=3)
     weekly = weekly.withColumn("price", F.col("price").cast("decimal(10,4)"))
-    monthly = reshape.resample_month(weekly, ["geo"], "date", "price", spine="all")
+    span = star.week_months(spark, d)
+    monthly = reshape.resample_month(weekly, ["geo"], "date", "price", spine=span)
     return monthly.withColumn("price", F.round("price", 4))
 
 

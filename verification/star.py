@@ -29,8 +29,6 @@ SCOPE = Scope(
 )
 
 
-
-
 def scope(**changes) -> Scope:
     return replace(SCOPE, **changes)
 
@@ -61,6 +59,25 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nation.join(region, nation.n_regionkey == region.r_regionkey)
 
 
+def month_span(days: DataFrame, month: Column) -> tuple[Column, Column]:
+    """First and last month of a table: a pass over its date column alone."""
+    return days.select(F.min(month)).scalar(), days.select(F.max(month)).scalar()
+
+
+def order_months(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+    day = F.col("o_orderdate").cast("date")
+    return month_span(table(spark, sf_dir, "orders"), month_start(day))
+
+
+def week_months(spark: SparkSession, sf_dir: str) -> tuple[Column, Column]:
+    day = F.col("l_shipdate").cast("date")
+    return month_span(table(spark, sf_dir, "lineitem"), month_start(monday(day)))
+
+
+def monday(day: Column) -> Column:
+    return F.date_sub(day, F.weekday(day))
+
+
 def geo_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with the nation and region of their customer.
 
@@ -133,13 +150,12 @@ def segment_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weekly_price(spark: SparkSession, sf_dir: str, geo: str = "r_name") -> DataFrame:
     """Price per unit shipped, per week (its Monday) and geography."""
-    week = F.date_trunc("week", "day").cast("date")
     price = fixed_sum(F.col("l_extendedprice")).cast("double") / (
         fixed_sum(F.col("l_quantity"), 0) * 100
     )
     return (
         geo_lineitems(spark, sf_dir)
-        .groupBy(week.alias("date"), F.col(geo).alias("geo"))
+        .groupBy(monday(F.col("day")).alias("date"), F.col(geo).alias("geo"))
         .agg(price.cast("decimal(10,4)").alias("diesel_price_per_1000l"))
     )
 
