@@ -555,6 +555,13 @@ def food_preview(t: Tables, s: Scope) -> DataFrame:
     return t.food.select(*FOOD_INDEX.key, FOOD).orderBy(*FOOD_INDEX.key).limit(5)
 
 
+@statement
+def food_tail(t: Tables, s: Scope) -> DataFrame:
+    """The last five rows of the index table by month, newest first."""
+    newest_first = [F.col(c).desc() for c in FOOD_INDEX.key]
+    return t.food.select(*FOOD_INDEX.key, FOOD).orderBy(*newest_first).limit(5)
+
+
 @statement
 def adjusted_growth_by_year(t: Tables, s: Scope) -> DataFrame:
     """Adjusted income growth, one column per reference year, geographies in the stated order.

@@ -384,6 +384,11 @@ FROM (SELECT geo, arg_min(v, month) AS a, arg_max(v, month) AS b FROM food GROUP
 FROM food ORDER BY month, geo LIMIT 5""",
         "food",
     ),
+    "food_tail": query(
+        f"""SELECT month, geo, 'CP01' AS coicop18, 'I25' AS unit, 'M' AS freq, {INDEX}
+FROM food ORDER BY month DESC, geo DESC LIMIT 5""",
+        "food",
+    ),
     "adjusted_growth_by_year": query(
         "SELECT geo, "
         + ", ".join(
@@ -512,6 +517,9 @@ FROM pairs_all GROUP BY geo""",
   count(*) FILTER (o_orderstatus <> 'O') AS numbers,
   max((round(o_totalprice, 2) + 0)) FILTER (o_orderstatus <> 'O') AS max_amount
 FROM orders GROUP BY o_orderpriority""",
+    "drop_missing": query(
+        f"SELECT {YOY_COLUMNS} FROM nation_calendar WHERE pct IS NOT NULL", "nation_calendar"
+    ),
     "missing_by_column": query(
         """SELECT 0 AS month, 0 AS geo, count(*) - count(v) AS value,
   count(*) - count(base) AS previous_value, count(*) - count(pct) AS yoy_pct FROM nation_calendar""",

@@ -254,6 +254,12 @@ def lenient_parse(spark, d):
 # -- quality reports --------------------------------------------------------------------
 
 
+@operator
+def drop_missing(spark, d):
+    """Rows that have a rate."""
+    return nation_yoy(spark, d, "calendar").na.drop(subset=["yoy_pct"])
+
+
 @operator
 def missing_by_column(spark, d):
     return quality.missing_by_column(nation_yoy(spark, d, "calendar"))
