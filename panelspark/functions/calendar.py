@@ -37,8 +37,13 @@ def within_years(month: Column, first: int, last: int) -> Column:
 
 
 def parse_month(text: Column, lenient: bool = False) -> Column:
-    """``yyyy-MM`` to the first day of that month; malformed text raises, or is NULL if lenient."""
-    return F.try_to_date(text, "yyyy-MM") if lenient else F.to_date(text, "yyyy-MM")
+    """``yyyy-MM`` to the first day of that month; malformed text raises, or is NULL if lenient.
+
+    Lenient mode looks at the shape first: a failed parse costs an exception per row.
+    """
+    if not lenient:
+        return F.to_date(text, "yyyy-MM")
+    return F.when(text.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(text, "yyyy-MM"))
 
 
 def lenient_date(text: Column) -> Column:
