@@ -53,25 +53,24 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
         lambda e: F.struct(e["key"].cast("bigint").alias("offset"), e["value"].alias("value")),
     )
     cells = F.when(F.col("doc.value").isNotNull(), from_object).otherwise(from_list)
-    return parsed.withColumn("cells", F.filter(cells, lambda c: c["value"].isNotNull()))
+    return parsed.withColumn("cells", cells)
 
 
 def _volume(sizes: Column) -> Column:
     return F.aggregate(sizes, F.lit(1).cast("bigint"), lambda a, n: a * n)
 
 
-def _axis(dim: str) -> Column:
-    """Categories of a dimension as (position, code, label), in order of position."""
+def _axis(dim: str, labelled: bool) -> Column:
+    """Categories of a dimension as (position, code[, label]), in order of position."""
     category = F.col("doc.dimension")[dim]["category"]
-    entries = F.transform(
-        F.map_entries(category["index"]),
-        lambda e: F.struct(
-            e["value"].alias("position"),
-            e["key"].alias("code"),
-            F.try_element_at(category["label"], e["key"]).alias("label"),
-        ),
-    )
-    return F.array_sort(entries)
+
+    def entry(e: Column) -> Column:
+        fields = [e["value"].alias("position"), e["key"].alias("code")]
+        if labelled:  # a lookup in a map takes time in proportion to its size
+            fields.append(F.try_element_at(category["label"], e["key"]).alias("label"))
+        return F.struct(*fields)
+
+    return F.sort_array(F.transform(F.map_entries(category["index"]), entry))
 
 
 def decode_cube(
@@ -101,7 +100,7 @@ def decode_cube(
     columns = {"_volume": _volume(size)}
     for dim in dims:
         place = F.array_position("doc.id", F.lit(dim)).cast("int")
-        columns[f"_axis_{dim}"] = _axis(dim)
+        columns[f"_axis_{dim}"] = _axis(dim, dim in labels)
         columns[f"_size_{dim}"] = F.try_element_at(size, F.nullif(place, F.lit(0)))
         columns[f"_stride_{dim}"] = _volume(F.slice(size, place + 1, F.size(size)))
     docs = docs.withColumns(columns)
@@ -128,7 +127,9 @@ def decode_cube(
                 fields.append(category["label"].alias(labels[dim]))
         return F.struct(*fields, cell.alias(value))
 
-    present = F.filter("cells", lambda c: c["offset"] < F.col("_volume"))
+    present = F.filter(
+        "cells", lambda c: c["value"].isNotNull() & (c["offset"] < F.col("_volume"))
+    )
     rows = F.transform(present, lambda c: row(c["offset"], c["value"]))
     if on_missing != "drop":
         every = F.sequence(F.lit(0).cast("bigint"), F.col("_volume") - 1)

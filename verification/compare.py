@@ -9,7 +9,7 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
-TABLES = "region nation customer supplier part orders lineitem events".split()
+TABLES = "region nation customer supplier orders lineitem".split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
