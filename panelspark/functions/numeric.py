@@ -28,8 +28,11 @@ def adjusted_growth_pct(growth: Column, deflator: Column) -> Column:
 
 
 def lenient_double(text: Column) -> Column:
-    """Text to a number; what is no number, and NaN, becomes NULL."""
-    number = F.trim(text).try_cast("double")
+    """Text to a number; what is no number, and NaN, becomes NULL.
+
+    Text without a digit is sorted out first: a failed cast costs an exception per row.
+    """
+    number = F.when(text.rlike("(?i)[0-9]|inf"), F.trim(text).try_cast("double"))
     return F.when(~F.isnan(number), number)
 
 

@@ -19,6 +19,17 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
+TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+}
+
+
 def _rows(names: list[str], rows: list[tuple]) -> list[tuple]:
     order = sorted(range(len(names)), key=lambda i: names[i])
     return sorted((tuple(row[i] for i in order) for row in rows), key=repr)
@@ -35,6 +46,10 @@ def differences(spark: SparkSession, connection, sf_dir: str, query, sql: str) -
     if sorted(frame.columns) != sorted(names):
         found.append(f"columns {sorted(frame.columns)} / {sorted(names)}")
         return found
+    sql_types = {c[0]: str(c[1]) for c in cursor.description}
+    for name, kind in frame.dtypes:
+        if TYPES.get(kind) != sql_types[name]:
+            found.append(f"{name} is {kind} / {sql_types[name]}")
     if len(spark_rows) != len(sql_rows):
         found.append(f"{len(spark_rows)} / {len(sql_rows)} rows")
     a, b = _rows(frame.columns, spark_rows), _rows(names, sql_rows)

@@ -504,8 +504,9 @@ FROM pairs_all GROUP BY geo""",
   ON o_custkey = c_custkey""",
     "key_breaches_by_category": """SELECT c_nationkey AS year, c_mktsegment AS geo,
   count(*) AS row_count FROM customer GROUP BY ALL HAVING count(*) > 1""",
-    "rule_breaches": """SELECT count(*) AS month_is_null, 0 AS geo_is_null, 0 AS coicop18_is_null,
-  0 AS unit_is_null, 0 AS freq_is_null,
+    "rule_breaches": """SELECT count(*) AS month_is_null, count(*) - count(o_orderpriority) AS geo_is_null,
+  count(*) - count(o_orderpriority) AS coicop18_is_null, count(*) - count(o_orderstatus) AS unit_is_null,
+  count(*) - count(o_orderstatus) AS freq_is_null,
   count(*) FILTER (try_cast(left(o_orderpriority, 1) AS DOUBLE) IS NULL) AS hicp_index_is_null,
   count(*) FILTER (length(trim(o_orderpriority)) > 16) AS geo_longer_than_16,
   count(*) FILTER (length(trim(o_orderpriority || o_orderpriority)) > 16) AS coicop18_longer_than_16,
@@ -521,7 +522,7 @@ FROM orders GROUP BY o_orderpriority""",
         f"SELECT {YOY_COLUMNS} FROM nation_calendar WHERE pct IS NOT NULL", "nation_calendar"
     ),
     "missing_by_column": query(
-        """SELECT 0 AS month, 0 AS geo, count(*) - count(v) AS value,
+        """SELECT count(*) - count(month) AS month, count(*) - count(geo) AS geo, count(*) - count(v) AS value,
   count(*) - count(base) AS previous_value, count(*) - count(pct) AS yoy_pct FROM nation_calendar""",
         "nation_calendar",
     ),
