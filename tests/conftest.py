@@ -16,7 +16,12 @@ def spark():
     session = build_session(
         "tests",
         "local[8]",
-        {"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"},
+        {
+            "spark.sql.shuffle.partitions": "3",
+            "spark.default.parallelism": "3",
+            "spark.driver.memory": "6g",
+            "spark.ui.showConsoleProgress": "false",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -135,12 +135,16 @@ def test_spine_reports_months_without_observation(spark, stored):
     ]
 
 
-def test_every_statement_runs_on_the_stored_tables(tables):
-    empty = set()
+def test_every_statement_is_valid_on_the_stored_tables(tables):
     for name in STATEMENTS:
-        if not run(name, tables).collect():
-            empty.add(name)
-    assert empty == {"share_duplicate_keys"}
+        assert run(name, tables).columns
+
+
+@pytest.mark.parametrize(
+    "name", ["yoy_extremes", "growth_compare_same_year", "diesel_lags_vs_food", "direction_compare_lag3"]
+)
+def test_statements_find_rows_in_their_default_scope(tables, name):
+    assert run(name, tables).count() > 0
 
 
 def test_statements_use_the_documented_scope(tables):
