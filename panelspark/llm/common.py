@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +30,26 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Gives executors this package where they cannot import it anyway, once per Spark context.
+
+    Jobs are submitted with the package installed, on ``PYTHONPATH`` or by ``--py-files``. A session
+    started from another folder gets it as a zip of its sources.
+    """
+    root = Path(__file__).resolve().parents[2]
+    places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
+    if any(p and Path(p).resolve() == root for p in places):
+        return
+    context = spark.sparkContext
+    if any(str(f).endswith("panelspark-sources.zip") for f in context.listFiles):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="panelspark-")) / "panelspark-sources.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in (root / "panelspark").rglob("*.py"):
+            file.write(source, source.relative_to(root))
+    context.addPyFile(str(archive))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once as Parquet to the shared folder and read back.
 

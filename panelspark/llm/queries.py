@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import mixing, token_counts
-from panelspark.llm.common import word_count
+from panelspark.llm import mixing, simhash, token_counts
+from panelspark.llm.common import ship_package, stored, word_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,6 +38,13 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json")).drop("text")
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The text is needed for the fingerprint only, so it is not stored with it.
+    docs = table(spark, sf_dir, "documents")
+    prints = docs.select("doc_id", simhash.simhash(F.col("text"), 3).alias("fp"))
+    return simhash.with_components(stored(prints), "doc_id", 2)
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -85,6 +93,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
     return {
         "op2_mixing": op2_mixing,
+        "op6_simhash": op6_simhash,
         "op5_token_counts": op5_token_counts,
     }
 
