@@ -77,13 +77,9 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def hash_sample(df: DataFrame, key: Column, rows: int, total: int) -> DataFrame:
-    """About ``rows`` of the ``total`` rows, the same ones on every run; all if there are fewer."""
-    if total <= rows:
-        return df
-    share = rows / total
-    unit = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    return df.where(unit < F.lit(share))
+def hash_unit(key: Column) -> Column:
+    """A number from 0 to below 1 that depends on the key alone, for samples that reruns repeat."""
+    return F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
 def word_count(text: Column) -> Column:

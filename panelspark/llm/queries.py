@@ -8,10 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import mixing, simhash, token_counts
+from panelspark.llm import language_id, mixing, simhash, token_counts
 from panelspark.llm.common import ship_package, stored, word_count
 
 
@@ -27,6 +27,21 @@ def vocabulary(name: str) -> str:
     return str(public_tokenizers.path(name))
 
 
+def fold(key: str, folds: int) -> Column:
+    """crc32 of the key as text, modulo ``folds``."""
+    return F.crc32(F.col(key).cast("string")) % folds
+
+
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    learn = docs.where(fold("doc_id", 5) != 0).select("doc_id", "text", "lang")
+    model = language_id.fit(learn)
+    return language_id.identify(
+        docs.select("doc_id", held_out.alias("held_out"), "text"), model
+    ).drop("text")
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
@@ -92,6 +107,7 @@ FROM placed
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
     return {
+        "op1_language_id": op1_language_id,
         "op2_mixing": op2_mixing,
         "op6_simhash": op6_simhash,
         "op5_token_counts": op5_token_counts,
