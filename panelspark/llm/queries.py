@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import language_id, mixing, simhash, token_counts
+from panelspark.llm import language_id, mixing, simhash, token_counts, toxicity
 from panelspark.llm.common import ship_package, stored, word_count
 
 
@@ -48,6 +48,23 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2)
+    model = toxicity.fit(docs, labels)
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    scored = toxicity.score_documents(
+        docs.select("doc_id", held_out.alias("held_out"), "text"), model
+    )
+    return scored.select(
+        "doc_id",
+        "held_out",
+        "score",
+        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+        "offending",
+    )
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.count_tokens(docs, vocabulary("byte_bpe_50k.json")).drop("text")
@@ -109,8 +126,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_mixing": op2_mixing,
-        "op6_simhash": op6_simhash,
+        "op4_toxicity": op4_toxicity,
         "op5_token_counts": op5_token_counts,
+        "op6_simhash": op6_simhash,
     }
 
 
