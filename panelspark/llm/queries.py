@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import language_id, mixing, simhash, token_counts, toxicity
+from panelspark.llm import language_id, mixing, pii, simhash, token_counts, toxicity
 from panelspark.llm.common import ship_package, stored, word_count
 
 
@@ -48,6 +48,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(sized).select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.find(docs, pii.fit(docs)).drop("text")
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(fold("doc_id", 4) != 2)
@@ -126,6 +131,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_mixing": op2_mixing,
+        "op3_pii": op3_pii,
         "op4_toxicity": op4_toxicity,
         "op5_token_counts": op5_token_counts,
         "op6_simhash": op6_simhash,
