@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import language_id, mixing, pii, simhash, token_counts, toxicity
+from panelspark.llm import language_id, mixing, packing, pii, simhash, token_counts, topk, toxicity
 from panelspark.llm.common import ship_package, stored, word_count
 
 
@@ -82,6 +82,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.with_components(stored(prints), "doc_id", 2)
 
 
+def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -125,6 +134,24 @@ SELECT doc_id, size, source_size, target,
 FROM placed
 """
 
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT q.r AS q, q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+  WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 10
+"""
+
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
@@ -135,9 +162,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_toxicity": op4_toxicity,
         "op5_token_counts": op5_token_counts,
         "op6_simhash": op6_simhash,
+        "op7_top_k": op7_top_k,
+        "op10_packing": op10_packing,
     }
 
 
 def llm_oracles() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op2_mixing": OP2_SQL}
+    return {"op2_mixing": OP2_SQL, "op7_top_k": OP7_SQL}

@@ -57,7 +57,7 @@ class Encoder:
 
             self._model = sentencepiece.SentencePieceProcessor(model_file=path)
             self._encode = lambda texts: self._model.encode(texts, num_threads=1)
-            self.splits = False
+            self.splits, self.size = False, self._model.vocab_size()
         else:
             ranks = _twin(path)
             if ranks:
@@ -70,7 +70,7 @@ class Encoder:
                 self._encode = lambda texts: [
                     self._model.encode(t, allowed_special="all") for t in texts
                 ]
-                self.splits = True
+                self.splits, self.size = True, self._model.max_token_value + 1
             else:
                 os.environ["TOKENIZERS_PARALLELISM"] = "false"
                 from tokenizers import Tokenizer
@@ -81,7 +81,7 @@ class Encoder:
                 self._encode = lambda texts: [
                     e.ids for e in self._model.encode_batch_fast(texts, add_special_tokens=False)
                 ]
-                self.splits = False
+                self.splits, self.size = False, self._model.get_vocab_size()
 
     def encoded(self, texts: list[str]) -> Iterator[tuple[int, list[int]]]:
         """``(index of the text, ids)`` for each piece of each text, encoded batch by batch."""
