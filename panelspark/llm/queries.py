@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import language_id, mixing, packing, pii, simhash, token_counts, topk, toxicity
+from panelspark.llm import html_content, language_id, mixing, packing, pii, simhash, token_counts, topk, toxicity
 from panelspark.llm.common import ship_package, stored, word_count
 
 
@@ -86,6 +86,11 @@ def op7_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op8_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_content.extract(pages, html_content.fit()).drop("html")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
@@ -163,6 +168,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_token_counts": op5_token_counts,
         "op6_simhash": op6_simhash,
         "op7_top_k": op7_top_k,
+        "op8_html_content": op8_html_content,
         "op10_packing": op10_packing,
     }
 
