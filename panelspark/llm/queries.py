@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import html_content, language_id, mixing, packing, pii, simhash, token_counts, topk, toxicity
+from panelspark.llm import decontaminate, html_content, language_id, mixing, packing, pii, simhash, token_counts, topk, toxicity
 from panelspark.llm.common import ship_package, stored, word_count
 
 
@@ -91,6 +91,17 @@ def op8_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(pages, html_content.fit()).drop("html")
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contaminated documents with the items that they hold."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_items(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("items") > 0).select(
+        "doc_id",
+        F.transform("items", lambda x: x["item_id"]).alias("item_ids"),
+        F.array_max(F.transform("items", lambda x: x["share"])).alias("best_share"),
+    )
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
@@ -169,6 +180,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_simhash": op6_simhash,
         "op7_top_k": op7_top_k,
         "op8_html_content": op8_html_content,
+        "op9_decontamination": op9_decontamination,
         "op10_packing": op10_packing,
     }
 
