@@ -221,3 +221,14 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     found = base.withColumn("__found", predict(F.col(text), model))
     columns = [F.col(c) for c in base.columns]
     return found.select(*columns, "__found.lang_pred", "__found.score")
+
+
+def known_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text has a language; the columns of ``docs``.
+
+    Rejected are texts that are NULL or without a letter. A model that knows no language rejects no other.
+    """
+    if not model.families:
+        return docs.where(F.col(text).rlike(r"\p{L}"))
+    found = docs.withColumn("__found", predict(F.col(text), model))
+    return found.where(F.col("__found.lang_pred") != UNKNOWN).drop("__found")

@@ -171,7 +171,10 @@ WHERE rank <= 10
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
+    import corpus_pipeline  # at the top of the repository; it imports from here
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_language_id": op1_language_id,
         "op2_mixing": op2_mixing,
         "op3_pii": op3_pii,
