@@ -108,7 +108,7 @@ def systematic_copies(
     and the sum p of those before, copies is floor(p + e + u) - floor(p + u) for the offset u of
     the source, a number from the MD5 of the seed and the source. Reruns agree.
     """
-    rate = F.floor(F.col("target") / F.col("source_size") * UNIT).cast("long")
+    rate = F.floor(F.try_divide(F.col("target"), F.col("source_size")) * UNIT).cast("long")
     rates = targets.select(
         F.col("source").alias("__source"),
         F.col("source_size").alias("__source_size"),

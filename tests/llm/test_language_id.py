@@ -1,0 +1,60 @@
+"""Language identification: held-out accuracy and odd input."""
+
+from pyspark.sql import functions as F
+
+from panelspark.llm.language_id import fit, identify, known_language, ngram_features
+from panelspark.llm.queries import op1_language_id
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    found = op1_language_id(spark, sf_dir)
+    truth = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    joined = found.join(truth, "doc_id").where("held_out")
+    assert joined.count() > 100
+    assert joined.where("lang_pred = lang").count() >= 0.98 * joined.count()
+    assert found.where("score < 0 OR score > 1").count() == 0
+    assert found.select("doc_id").distinct().count() == truth.count()
+    folds = found.select((F.crc32(F.col("doc_id").cast("string")) % 5 == 0).alias("f"), "held_out")
+    assert folds.where("f <> held_out").count() == 0
+
+
+def test_other_columns_do_not_matter(documents):
+    model = fit(documents)
+    plain = identify(documents, model).select("doc_id", "lang_pred", "score")
+    changed = identify(
+        documents.withColumn("lang", F.lit("xx")).withColumn("source", F.lit("y")), model
+    ).select("doc_id", "lang_pred", "score")
+    assert sorted(plain.collect()) == sorted(changed.collect())
+
+
+def test_families_and_pairs(documents):
+    model = fit(documents)
+    assert model.members == {"germanic": ["de", "en"], "romance": ["es", "fr"]}
+    assert model.pairs == [("de", "en"), ("es", "fr")]
+    alone = fit(documents, families={})
+    assert alone.members == {x: [x] for x in ("de", "en", "es", "fr")} and alone.pairs == []
+    one = fit(documents.where("lang = 'fr'"))
+    assert one.predict("le chat")[0] == "fr" and one.predict("12")[0] == "und"
+
+
+def test_features_do_not_depend_on_marks():
+    a, b = ngram_features("The cat, the DOG."), ngram_features("the  cat 12 the dog")
+    assert (a[0] == b[0]).all() and (a[1] == b[1]).all()
+    assert len(ngram_features(None)[0]) == len(ngram_features("12 !")[0]) == 0
+
+
+def test_odd_documents(documents, odd_documents, no_documents):
+    model = fit(documents)
+    rows = identify(odd_documents, model).collect()
+    assert len(rows) == odd_documents.count()
+    for row in rows:
+        letters = any(c.isalpha() for c in row["text"] or "")
+        assert (row["lang_pred"] != "und") == letters
+        assert 0 <= row["score"] <= 1
+    assert known_language(odd_documents, model).columns == odd_documents.columns
+    assert known_language(odd_documents, model).count() == 8
+    assert identify(no_documents, model).count() == 0
+    nothing = fit(no_documents)
+    assert {r["lang_pred"] for r in identify(odd_documents, nothing).collect()} == {"und"}
+    assert known_language(odd_documents, nothing).count() == 8
