@@ -167,7 +167,6 @@ class _Reader:
                 return
         if tag in HIDDEN:
             self.hidden = [tag]
-            self.broken = self.broken or tag not in {"button", "select", "svg", "math"}
             return
         if tag in INLINE:
             if tag == "a":
