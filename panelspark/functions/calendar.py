@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, functions as F
@@ -46,7 +47,42 @@ def parse_month(text: Column, lenient: bool = False) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}$"), F.try_to_date(text, "yyyy-MM"))
 
 
-def lenient_date(text: Column) -> Column:
-    """A date from ISO text with or without a time of day; anything else is NULL."""
-    looks_like_date = F.trim(text).rlike(r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$")
-    return F.when(looks_like_date, F.trim(text).try_cast("date"))
+# Spellings of a date: the shape of the text and how to read it.  Slashes put the month first, as
+# the sheets' own reader does; ``DAY_FIRST`` is for exports that put the day first.
+ISO = (r"^\d{4}-\d{1,2}-\d{1,2}([ T].*)?$", None)
+COMMON = (
+    ISO,
+    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
+    (r"^\d{8}$", "yyyyMMdd"),
+    (r"^\d{1,2} [A-Za-z]{3} \d{4}$", "d MMM yyyy"),
+)
+MONTH_FIRST = (*COMMON, (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"))
+DAY_FIRST = (
+    *COMMON,
+    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+)
+#: Day numbers of spreadsheets count from here; five digits are the years 1927 to 2173.
+_SERIAL, _SERIAL_ORIGIN = r"^[1-9]\d{4}(\.0*)?$", date(1899, 12, 30)
+
+
+def lenient_date(
+    text: Column, formats: Sequence[tuple[str, str | None]] = MONTH_FIRST, *, serial: bool = True
+) -> Column:
+    """A date from text in one of the ``formats`` (shape, pattern), or a spreadsheet's day number.
+
+    A pattern of None is a cast, for ISO text with or without a time of day.  Anything else is NULL; the
+    shape is looked at first, since a failed parse costs an exception per row.
+    """
+    clean = F.trim(text)
+    found = [
+        F.when(
+            clean.rlike(shape),
+            clean.try_cast("date") if pattern is None else F.try_to_date(clean, pattern),
+        )
+        for shape, pattern in formats
+    ]
+    if serial:
+        days = clean.try_cast("double").cast("int")
+        found.append(F.when(clean.rlike(_SERIAL), F.date_add(F.lit(_SERIAL_ORIGIN), days)))
+    return F.coalesce(*found)

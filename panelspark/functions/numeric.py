@@ -27,13 +27,17 @@ def adjusted_growth_pct(growth: Column, deflator: Column) -> Column:
     return ((1 + growth / 100) / F.nullif(1 + deflator / 100, F.lit(0.0)) - 1) * 100
 
 
+# Java would also read 12d, 0x1p3 and the like as numbers.
+_NUMBER = r"(?i)^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)(e[+-]?[0-9]+)?|inf(inity)?)$"
+
+
 def lenient_double(text: Column) -> Column:
     """Text to a number; what is no number, and NaN, becomes NULL.
 
-    Text without a digit is sorted out first: a failed cast costs an exception per row.
+    The shape is checked first: a failed cast costs an exception per row, and a number that carries a
+    type letter is none.
     """
-    number = F.when(text.rlike("(?i)[0-9]|inf"), F.trim(text).try_cast("double"))
-    return F.when(~F.isnan(number), number)
+    return F.when(F.trim(text).rlike(_NUMBER), F.trim(text).try_cast("double"))
 
 
 def fixed_sum(value: Column, digits: int = 2) -> Column:

@@ -6,10 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# A key of the stored tables takes some tens of bytes, so this many are a few MB.
-BROADCAST_ROWS = 100_000
-
-
 def last_write_wins(
     batch: DataFrame, pk: Sequence[str], measures: Sequence[str], seq: Column | str
 ) -> DataFrame:
@@ -28,35 +24,18 @@ def upsert(
     pk: Sequence[str],
     measures: Sequence[str],
     seq: Column | str,
-    *,
-    batch_rows: int | None = None,
 ) -> DataFrame:
     """The target after inserting the batch, keys present already taking the new measures.
 
-    Both are put under each other and grouped by key: one shuffle, each side read once, and
-    a key that holds most of the batch is reduced before the shuffle.  When the caller has
-    counted the batch and it is small (``batch_rows``), its keys are broadcast instead and
-    the target is not shuffled at all.
+    The same for a batch of any size: its last row per key, and the rows of the target whose key it does
+    not hold.  AQE broadcasts the batch's keys if it measures them small, and shuffles otherwise.
+    A key that is several times in the target becomes one row if the batch holds it; others stay
+    as they are, also those with a NULL.  A batch row with a NULL in its key raises.
     """
-    if batch_rows is not None and batch_rows <= BROADCAST_ROWS:
-        latest = last_write_wins(batch, pk, measures, seq)
-        kept = target.join(F.broadcast(latest.select(*pk)), list(pk), "left_anti")
-        return kept.select(*pk, *measures).unionByName(latest)
-
-    order = F.col(seq) if isinstance(seq, str) else seq
-    old = target.select(*pk, *measures).withColumn("_new", F.lit(False))
-    new = batch.select(*pk, *measures, order.alias("_seq"), F.lit(True).alias("_new"))
-    rows = old.unionByName(new, allowMissingColumns=True)
-    is_new = F.col("_new")
-    merged = rows.groupBy(*pk).agg(
-        F.bool_or(is_new).alias("_changed"),
-        *[F.max_by(F.when(is_new, F.col(m)), F.when(is_new, F.col("_seq"))).alias(f"_new_{m}") for m in measures],
-        *[F.max(F.when(~is_new, F.col(m))).alias(f"_old_{m}") for m in measures],
-    )
-    return merged.select(
-        *pk,
-        *[
-            F.when(F.col("_changed"), F.col(f"_new_{m}")).otherwise(F.col(f"_old_{m}")).alias(m)
-            for m in measures
-        ],
+    latest = last_write_wins(batch, pk, measures, seq)
+    refused = F.raise_error(F.lit(f"NULL in the key {list(pk)} of a batch"))
+    latest = latest.withColumns(
+        {c: F.when(F.col(c).isNull(), refused).otherwise(F.col(c)) for c in pk}
     )
+    kept = target.join(latest.select(*pk), list(pk), "left_anti")
+    return kept.select(*pk, *measures).unionByName(latest)

@@ -78,12 +78,16 @@ def income_rows(
 
 
 def food_share_rows(grid: DataFrame, geo: str = SHARE_GEO) -> DataFrame:
-    """The household sheet to rows of the table: a row of years, a row of shares, one geography."""
+    """The household sheet to rows of the table: a row of years, a row of shares, one geography.
+
+    Of several sheets the one that arrived last wins, of several columns the last.
+    """
+    arrival = [c for c in ("arrived", "file", "sheet") if c in grid.columns]
     return rows_to_long(grid, **SHARE_ROWS, value=FOOD_SHARE.measure).select(
         "year",
         F.lit(geo).alias("geo"),
         FOOD_SHARE.measure,
-        F.struct("sheet", "column").alias("seq"),
+        F.struct(*arrival, "column").alias("seq"),
     )
 
 
@@ -95,7 +99,7 @@ def diesel_rows(
     since: date = DIESEL_SINCE,
     spine: Spine | None = "all",
 ) -> DataFrame:
-    """The weekly sheet to monthly means per geography.
+    """Weekly sheets to monthly means per geography; a later sheet wins for the weeks it holds.
 
     With a spine, months without an observation come out as NULL, for reports; a load drops
     them, since the table takes no NULL.

@@ -14,13 +14,15 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from panelspark.functions.numeric import lenient_double
+
 _CATEGORY = "STRUCT<index: MAP<STRING, INT>, label: MAP<STRING, STRING>>"
 _DOCUMENT = (
     "label STRING, id ARRAY<STRING>, size ARRAY<INT>, "
     f"dimension MAP<STRING, STRUCT<label: STRING, category: {_CATEGORY}>>, "
-    "value MAP<STRING, DOUBLE>"
+    "value MAP<STRING, STRING>"
 )
-_LISTED = "value ARRAY<DOUBLE>"
+_LISTED = "value ARRAY<STRING>"
 
 
 def read_documents(spark: SparkSession, path: str, *, per_line: bool = False) -> DataFrame:
@@ -36,26 +38,39 @@ def read_documents(spark: SparkSession, path: str, *, per_line: bool = False) ->
 
 
 def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
-    """Adds the parsed document as ``doc`` and its cells as ``cells`` (offset, value).
+    """Adds the parsed document as ``doc`` and its cells as ``cells`` (offset, value, text).
 
-    Malformed text raises.  The second parse, for ``value`` as a list, is only evaluated for
-    documents where the first finds no object.
+    Malformed text raises, and so does a document without ``value``.  A cell that is no number, such
+    as a mark of its status, has a NULL value and is like an empty one; ``cell_marks`` counts them.  The
+    second parse, for ``value`` as a list, is only evaluated for documents where the first finds no object.
     """
     parsed = raw.withColumn("doc", F.from_json(body, _DOCUMENT))
-    malformed = F.raise_error(F.concat(F.lit("not a cube document: "), F.left(body, F.lit(80))))
+    start = F.left(body, F.lit(80))
+    malformed = F.raise_error(F.concat(F.lit("not a cube document: "), start))
     parsed = parsed.withColumn("doc", F.when(F.col("doc.id").isNull(), malformed).otherwise(F.col("doc")))
     listed = F.from_json(body, _LISTED)["value"]
-    from_list = F.transform(
-        listed, lambda v, i: F.struct(i.cast("bigint").alias("offset"), v.alias("value"))
-    )
-    from_object = F.transform(
-        F.map_entries("doc.value"),
-        lambda e: F.struct(e["key"].cast("bigint").alias("offset"), e["value"].alias("value")),
+
+    def cell(offset: Column, text: Column) -> Column:
+        return F.struct(
+            offset.cast("bigint").alias("offset"), lenient_double(text).alias("value"), text.alias("text")
+        )
+
+    from_list = F.transform(listed, lambda v, i: cell(i, v))
+    from_object = F.transform(F.map_entries("doc.value"), lambda e: cell(e["key"], e["value"]))
+    empty = F.raise_error(F.concat(F.lit("cube document without values: "), start))
+    cells = F.when(F.col("doc.value").isNotNull(), from_object).otherwise(
+        F.when(listed.isNotNull(), from_list).otherwise(empty)
     )
-    cells = F.when(F.col("doc.value").isNotNull(), from_object).otherwise(from_list)
     return parsed.withColumn("cells", cells)
 
 
+def cell_marks(raw: DataFrame, keep: Sequence[str] = (), body: str = "body") -> DataFrame:
+    """Texts that stand where numbers belong, with their number of cells, per ``keep`` columns."""
+    marks = F.filter("cells", lambda c: c["value"].isNull() & c["text"].isNotNull())
+    found = parse_documents(raw, body).select(*keep, F.explode(marks).alias("c"))
+    return found.groupBy(*keep, F.col("c.text").alias("mark")).agg(F.count(F.lit(1)).alias("cells"))
+
+
 def _volume(sizes: Column) -> Column:
     return F.aggregate(sizes, F.lit(1).cast("bigint"), lambda a, n: a * n)
 
@@ -86,10 +101,11 @@ def decode_cube(
 ) -> DataFrame:
     """Cells as long rows: ``keep`` columns, ``offset``, one code column per dimension, value.
 
-    ``on_missing`` says what an empty cell is: no row (``drop``), a NULL (``keep``) or an
-    error (``error``).  ``labels`` maps dimensions to columns for their labels; ``where``
-    keeps the listed codes only.  A dimension of the document that is not in ``dims`` must
-    have one category; a listed one that is absent or not numbered 0..n-1 raises.
+    ``where`` keeps the listed codes only: other cells are left out before rows are built.
+    ``on_missing`` says what an empty cell among the wanted ones is: no row (``drop``), a NULL
+    (``keep``) or an error (``error``).  ``labels`` maps dimensions to columns for their labels.  A
+    dimension of the document that is not in ``dims`` must have one category; a listed one that is
+    absent or not numbered 0..n-1 raises, and so does a cell outside the cube.
     """
     if on_missing not in ("drop", "keep", "error"):
         raise ValueError(f"unknown on_missing {on_missing!r}")
@@ -117,22 +133,49 @@ def decode_cube(
     unsound = F.raise_error(F.lit(f"cube dimensions do not fit {list(dims)}"))
     sound = sound & (covered == F.col("_volume"))
 
+    # The wanted positions of each axis; cells elsewhere are left out before a row is built.
+    def positions_of(dim: str, codes: Sequence[str]) -> Column:
+        listed = F.filter(f"_axis_{dim}", lambda c: c["code"].isin(*codes))
+        return F.transform(listed, lambda c: c["position"])
+
+    wanted = {dim: positions_of(dim, codes) for dim, codes in (where or {}).items()}
+    docs = docs.withColumns({f"_wanted_{dim}": positions for dim, positions in wanted.items()})
+
+    def position(offset: Column, dim: str) -> Column:
+        at = F.pmod(F.floor(offset / F.col(f"_stride_{dim}")), F.col(f"_size_{dim}"))
+        return at.cast("int")
+
     def row(offset: Column, cell: Column) -> Column:
         fields = [offset.alias("offset")]
         for dim in dims:
-            at = F.pmod(F.floor(offset / F.col(f"_stride_{dim}")), F.col(f"_size_{dim}"))
-            category = F.get(F.col(f"_axis_{dim}"), at.cast("int"))
+            category = F.get(F.col(f"_axis_{dim}"), position(offset, dim))
             fields.append(category["code"].alias(dim))
             if dim in labels:
                 fields.append(category["label"].alias(labels[dim]))
         return F.struct(*fields, cell.alias(value))
 
-    present = F.filter(
-        "cells", lambda c: c["value"].isNotNull() & (c["offset"] < F.col("_volume"))
+    def chosen(cell: Column) -> Column:
+        kept = cell["value"].isNotNull()
+        for dim in wanted:
+            kept = kept & F.array_contains(f"_wanted_{dim}", position(cell["offset"], dim))
+        return kept
+
+    outside = F.exists(
+        "cells", lambda c: (c["offset"] >= F.col("_volume")) | (c["offset"] < 0)
     )
+    stray = F.raise_error(F.lit("cube has cells outside its dimensions"))
+    present = F.filter("cells", chosen)
     rows = F.transform(present, lambda c: row(c["offset"], c["value"]))
     if on_missing != "drop":
-        every = F.sequence(F.lit(0).cast("bigint"), F.col("_volume") - 1)
+        # Every wanted offset, from the wanted positions of one axis after the other.
+        def spread(offsets: Column, dim: str) -> Column:
+            axis = F.col(f"_wanted_{dim}") if dim in wanted else F.col(f"_axis_{dim}")["position"]
+            steps = F.transform(axis, lambda p: p * F.col(f"_stride_{dim}"))
+            return F.flatten(F.transform(offsets, lambda o: F.transform(steps, lambda s: o + s)))
+
+        every = F.array(F.lit(0).cast("bigint"))
+        for dim in dims:
+            every = spread(every, dim)
         empty = F.array_except(every, F.transform(present, lambda c: c["offset"]))
         if on_missing == "keep":
             blank = F.lit(None).cast("double")
@@ -142,11 +185,8 @@ def decode_cube(
             rows = F.when(complete, rows).otherwise(
                 F.raise_error(F.concat(F.lit("empty cells: "), F.size(empty).cast("string")))
             )
-    rows = F.when(sound, rows).otherwise(unsound)
-    long = docs.select(*keep, F.inline(rows))
-    for dim, codes in (where or {}).items():
-        long = long.where(F.col(dim).isin(*codes))
-    return long
+    rows = F.when(sound, F.when(outside, stray).otherwise(rows)).otherwise(unsound)
+    return docs.select(*keep, F.inline(rows))
 
 
 def cube_metadata(raw: DataFrame, keep: Sequence[str] = (), body: str = "body") -> DataFrame:

@@ -6,37 +6,68 @@ number is a column of the grid from the start.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from panelspark.functions.calendar import lenient_date
+from panelspark.functions.calendar import MONTH_FIRST, lenient_date
 from panelspark.functions.numeric import lenient_double
 
 
-def read_grid(spark: SparkSession, path: str, width: int, *, sheet: str | None = None) -> DataFrame:
-    """Worksheets exported as delimited text, one file per sheet, ``width`` columns each.
+# A record runs to a line break outside quotes; a cell runs to a comma outside quotes.  Possessive
+# repeats never go back, so both are linear in the text.
+_RECORD = r'((?:[^"\r\n]++|"(?:[^"]++|"")*+"?)*+(?:\r?\n|\r|$))'
+_CELL = r',("(?:[^"]++|"")*+"?[^,]*+|[^,]*+)'
+#: Columns that say which sheet a row is from.
+IDENTITY = ("file", "arrived", "sheet")
 
-    The line number is taken inside the file, so a sheet is one task and many sheets are
-    many; a line is one row of the sheet.  Empty cells are NULL.
+
+def read_grid(spark: SparkSession, path: str, *, sheet: str | None = None) -> DataFrame:
+    """Worksheets exported as comma-separated text, one file per sheet.
+
+    A row is ``(file, arrived, sheet, row_idx, cells)``: the path is the identity of a sheet, its
+    name (the file's, or ``sheet``) a label, ``arrived`` the file's time.  A quoted cell may
+    hold line breaks, commas and doubled quotes; rows are as long as they are, and empty cells are
+    NULL.  The row number is taken inside the file and counts blank rows, so a sheet is one task and
+    many sheets are many.
     """
     files = spark.read.text(path, wholetext=True)
     name = F.regexp_extract("_metadata.file_name", r"^(.*?)(\.[^.]*)?$", 1)
-    names = name if sheet is None else F.lit(sheet)
-    lines = files.select(
-        names.alias("sheet"),
-        F.posexplode(F.split("value", r"\r?\n")).alias("row_idx", "line"),
-    ).where(F.length("line") > 0)
-    layout = ", ".join(f"c{i} STRING" for i in range(width))
-    parsed = F.from_csv("line", layout, {"nullValue": ""})
-    return lines.select("sheet", F.col("row_idx").cast("bigint"), parsed.alias("row")).select(
-        "sheet", "row_idx", F.array(*[F.col(f"row.c{i}") for i in range(width)]).alias("cells")
+    records = F.regexp_extract_all("value", F.lit(_RECORD), F.lit(1))
+    lines = (
+        files.select(
+            F.col("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_modification_time").alias("arrived"),
+            (name if sheet is None else F.lit(sheet)).alias("sheet"),
+            F.posexplode(records).alias("row_idx", "line"),
+        )
+        .withColumn("line", F.regexp_replace("line", r"[\r\n]+$", ""))
+        .where(F.length("line") > 0)
     )
+    cells = F.regexp_extract_all(F.concat(F.lit(","), "line"), F.lit(_CELL), F.lit(1))
+
+    def plain(cell: Column) -> Column:
+        inner = F.regexp_replace(F.regexp_extract(cell, r'(?s)^"(.*?)"?$', 1), '""', '"')
+        text = F.when(cell.startswith('"'), inner).otherwise(cell)
+        return F.when(F.length(text) > 0, text)
+
+    return lines.select(
+        "file",
+        "arrived",
+        "sheet",
+        F.col("row_idx").cast("bigint").alias("row_idx"),
+        F.transform(cells, plain).alias("cells"),
+    )
+
+
+def identity(grid: DataFrame) -> list[str]:
+    """The columns of ``grid`` that tell its sheets apart."""
+    return [c for c in IDENTITY if c in grid.columns]
 
 
 def grid_shape(grid: DataFrame) -> DataFrame:
     """Rows and columns of each sheet."""
-    return grid.groupBy("sheet").agg(
+    return grid.groupBy(*identity(grid)).agg(
         (F.max("row_idx") + 1).alias("rows"), F.max(F.size("cells")).alias("columns")
     )
 
@@ -70,21 +101,42 @@ def header_mismatches(grid: DataFrame, expected: Mapping[tuple[int, int], str])
 
 
 def columns_to_wide(
-    grid: DataFrame, columns: Mapping[str, int], *, first_row: int, date_column: int = 0
+    grid: DataFrame,
+    columns: Mapping[str, int],
+    *,
+    first_row: int,
+    date_column: int = 0,
+    formats: Sequence[tuple[str, str | None]] = MONTH_FIRST,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """A date and one number column per named position, from ``first_row`` on.
 
-    Rows without a date are dropped; a cell that is no number is NULL.
+    Rows without a date are dropped (``rejected_dates`` shows those that hold text there); a cell
+    that is no number is NULL.
     """
     cell = lambda i: F.get(F.col("cells"), F.lit(i))
     dated = grid.where(F.col("row_idx") >= first_row).withColumn(
-        "date", lenient_date(cell(date_column))
+        "date", lenient_date(cell(date_column), formats)
     )
     return dated.where(F.col("date").isNotNull()).select(
-        "date", *[lenient_double(cell(i)).alias(name) for name, i in columns.items()]
+        *keep, "date", *[lenient_double(cell(i)).alias(name) for name, i in columns.items()]
     )
 
 
+def rejected_dates(
+    grid: DataFrame,
+    *,
+    first_row: int,
+    date_column: int = 0,
+    formats: Sequence[tuple[str, str | None]] = MONTH_FIRST,
+) -> DataFrame:
+    """How many rows of each sheet have text in the date column that is no date."""
+    cell = F.get(F.col("cells"), F.lit(date_column))
+    bad = cell.isNotNull() & lenient_date(cell, formats).isNull()
+    counted = grid.where(F.col("row_idx") >= first_row).groupBy(*identity(grid))
+    return counted.agg(F.count_if(bad).alias("rejected"))
+
+
 def columns_to_long(
     grid: DataFrame,
     columns: Mapping[str, int],
@@ -93,10 +145,20 @@ def columns_to_long(
     first_row: int,
     date_column: int = 0,
     member: str = "geo",
+    formats: Sequence[tuple[str, str | None]] = MONTH_FIRST,
 ) -> DataFrame:
-    """The same as rows ``(date, member, value)``; another member is another entry of ``columns``."""
-    wide = columns_to_wide(grid, columns, first_row=first_row, date_column=date_column)
-    return wide.unpivot(["date"], list(columns), member, value)
+    """The same as rows ``(date, member, value)``, one per date and member.
+
+    Of several rows for a date, in one sheet or in a later version of it, the last wins: by the
+    sheet's time, its file, and the row.
+    """
+    order = [c for c in (*IDENTITY, "row_idx") if c in grid.columns]
+    wide = columns_to_wide(
+        grid, columns, first_row=first_row, date_column=date_column, formats=formats, keep=order
+    )
+    long = wide.unpivot([*order, "date"], list(columns), member, value)
+    arrival = [c for c in ("arrived", "file", "sheet", "row_idx") if c in order]
+    return long.groupBy("date", member).agg(F.max_by(value, F.struct(*arrival)).alias(value))
 
 
 def rows_to_long(
@@ -108,23 +170,24 @@ def rows_to_long(
     first_column: int = 1,
     year: str = "year",
 ) -> DataFrame:
-    """Two rows of a sheet, years and values, as ``(sheet, column, year, value)``.
+    """Two rows of each sheet, years and values, as ``(sheet, column, year, value)``.
 
     The casts are strict: text where a year or a number belongs raises.
     """
     wanted = grid.where(F.col("row_idx").isin(year_row, value_row))
     row = lambda i: F.max(F.when(F.col("row_idx") == i, F.col("cells")))
-    pairs = wanted.groupBy("sheet").agg(row(year_row).alias("y"), row(value_row).alias("v"))
+    sheet = identity(grid)
+    pairs = wanted.groupBy(*sheet).agg(row(year_row).alias("y"), row(value_row).alias("v"))
     tail = lambda c: F.slice(c, first_column + 1, F.greatest(F.size(c) - first_column, F.lit(0)))
     zipped = F.arrays_zip(tail("y").alias("y"), tail("v").alias("v"))
     no_year = F.raise_error(F.concat(F.lit("value without a year: "), F.col("v")))
     number = F.col("v").cast("double")
     return (
-        pairs.select("sheet", F.posexplode(zipped).alias("at", "pair"))
-        .select("sheet", (F.col("at") + first_column).alias("column"), "pair.*")
+        pairs.select(*sheet, F.posexplode(zipped).alias("at", "pair"))
+        .select(*sheet, (F.col("at") + first_column).alias("column"), "pair.*")
         .where(F.col("y").isNotNull() | F.col("v").isNotNull())
         .select(
-            "sheet",
+            *sheet,
             "column",
             F.when(F.col("y").isNull(), no_year)
             .otherwise(F.col("y").cast("double").cast("int"))

@@ -2,17 +2,18 @@
 current ones.
 
 ``<root>/<table>/data/load=<id>/period_year=<y>/`` holds the rows of one year as one load
-left them; it is written once and never changed.  ``<root>/<table>/current/n=<k>/`` is a
+left them; it is written once and never changed.  ``<root>/<table>/current/n=<k>-<id>/`` is a
 small JSON list saying which load is current for each year.  A load rewrites only the years
-its batch touches and becomes visible when the next list is written; if the job dies before,
-readers still see the previous list and the load can be run again.  One writer per table.
+its batch touches and becomes visible when the next list is complete; if the job dies before, at
+whatever step, readers still see the previous list and the load can be run again, since no name is
+used twice.  One writer per table; ``prune`` deletes what no list needs any more.
 """
 
 from __future__ import annotations
 
+import re
 from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelspark.operators.upsert import upsert
@@ -23,17 +24,67 @@ class LoadRejected(ValueError):
     """A batch breaks the rules of its table; nothing was written."""
 
 
+def _folder(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()), there
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if there is no folder."""
+    system, there = _folder(spark, path)
+    if not system.exists(there):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(there)]
+
+
+def _lists(spark: SparkSession, base: str) -> list[tuple[int, str]]:
+    """The complete lists as (number, name), newest first.
+
+    The writer marks a list it has finished; one it died over has no mark and is passed by.
+    """
+    numbered = []
+    for name in _names(spark, f"{base}/current"):
+        match = re.fullmatch(r"n=(\d+)(?:-\w+)?", name)
+        if match:
+            numbered.append((int(match[1]), name))
+    newest_first = sorted(numbered, reverse=True)
+    system, _ = _folder(spark, base)
+    mark = lambda name: _folder(spark, f"{base}/current/{name}/_SUCCESS")[1]
+    return [(n, name) for n, name in newest_first if system.exists(mark(name))]
+
+
+def _listed(spark: SparkSession, base: str, name: str) -> dict[int, str]:
+    """The load that holds each year, by one list."""
+    rows = spark.read.schema("period_year INT, load STRING").json(f"{base}/current/{name}")
+    return {r["period_year"]: r["load"] for r in rows.collect()}  # one row per calendar year
+
+
 def _current(spark: SparkSession, base: str) -> tuple[int, dict[int, str]]:
     """Number of the newest list, and the load that holds each year."""
-    try:
-        lists = spark.read.schema("period_year INT, load STRING, n INT").json(f"{base}/current")
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        return 0, {}
-    newest = lists.select(F.max("n")).scalar()
-    rows = lists.where(F.col("n") == newest).collect()  # one row per calendar year
-    return (rows[0]["n"], {r["period_year"]: r["load"] for r in rows}) if rows else (0, {})
+    for number, name in _lists(spark, base):
+        return number, _listed(spark, base, name)
+    return 0, {}
+
+
+def prune(spark: SparkSession, root: str, spec: TableSpec, keep: int = 2) -> None:
+    """Deletes the lists before the newest ``keep``, and all loads that no kept list names.
+
+    For when no load is running; readers of the kept lists are not disturbed.
+    """
+    base = f"{root}/{spec.name}"
+    kept = _lists(spark, base)[: max(keep, 1)]
+    if not kept:
+        return
+    named = {load for _, name in kept for load in _listed(spark, base, name).values()}
+    system, _ = _folder(spark, base)
+    for name in _names(spark, f"{base}/current"):
+        if name not in {n for _, n in kept}:
+            system.delete(_folder(spark, f"{base}/current/{name}")[1], True)
+    for folder in ("data", "staged"):
+        for name in _names(spark, f"{base}/{folder}"):
+            if name.removeprefix("load=") not in named:
+                system.delete(_folder(spark, f"{base}/{folder}/{name}")[1], True)
 
 
 def _read_years(
@@ -64,11 +115,20 @@ def upsert_table(
     ``seq`` orders rows of the batch that share a key.  Rows that break NOT NULL or a length
     reject the whole batch.
     """
-    base = f"{root}/{spec.name}"
+    base, load = f"{root}/{spec.name}", uuid4().hex
     order = F.col(seq) if isinstance(seq, str) else seq
     ready = normalise_codes(batch.withColumn("_seq", order), spec)
-    ready = narrow(ready, spec, "_seq")
+    # The batch is evaluated once: documents are not decoded again for the merge.
+    staged = f"{base}/staged/load={load}"
+    narrow(ready, spec, "_seq").write.parquet(staged)
+    try:
+        return _merge(spark, base, spec, spark.read.parquet(staged), load)
+    finally:
+        system, there = _folder(spark, staged)
+        system.delete(there, True)
+
 
+def _merge(spark: SparkSession, base: str, spec: TableSpec, ready: DataFrame, load: str) -> int:
     rules = rule_counts(spec)
     # One pass over the batch: its size, the years it touches and the rows that break a rule.
     by_year = (
@@ -86,10 +146,8 @@ def upsert_table(
     number, loads = _current(spark, base)
     touched = {row["period_year"] for row in by_year}
     before = _read_years(spark, base, spec, {y: l for y, l in loads.items() if y in touched})
-    total = sum(row["rows"] for row in by_year)
-    merged = upsert(before, ready, spec.key, [spec.measure], "_seq", batch_rows=total)
+    merged = upsert(before, ready, spec.key, [spec.measure], "_seq")
 
-    load = uuid4().hex
     # Rebalance: files of even size per year, a year that holds most rows is split over tasks.
     (
         merged.withColumn("period_year", spec.period_year)
@@ -101,6 +159,7 @@ def upsert_table(
     (
         spark.createDataFrame(sorted(listed.items()), "period_year INT, load STRING")
         .coalesce(1)
-        .write.json(f"{base}/current/n={number + 1}")
+        .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        .json(f"{base}/current/n={number + 1}-{load}")
     )
-    return total
+    return sum(row["rows"] for row in by_year)

@@ -3,6 +3,8 @@
 The same load as :mod:`panelspark.plans.loads`, run once per scheduled call: the stream
 remembers in its checkpoint which files it has seen, processes the new ones and stops.  The
 upsert is idempotent, so a micro-batch that is repeated after a failure changes nothing.
+Within a call the later file wins by its time, as in the batch load; between calls the file that
+is picked up later wins, so an older file that lands late replaces a newer one.
 """
 
 from __future__ import annotations
@@ -22,6 +24,9 @@ def checkpoint_dir(spark: SparkSession, name: str, fallback: str | None = None)
     shared = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if not shared:
         raise ValueError("set spark.checkpoint.dir or give a fallback folder")
+    local = shared.startswith(("file:", "/"))
+    if local and shared == fallback and not spark.conf.get("spark.master", "local").startswith("local"):
+        raise ValueError(f"{shared} is a folder of this machine; executors do not share it")
     return f"{shared}/{name}"
 
 

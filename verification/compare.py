@@ -9,7 +9,10 @@ from pathlib import Path
 import duckdb
 from pyspark.sql import SparkSession
 
-TABLES = "region nation customer supplier orders lineitem".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
 
 
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
