@@ -109,9 +109,8 @@ def pieces(text: Column, path: str, row_tokens: int, kind: str) -> Column:
         model = encoder(path)
         for array in arrays:
             out = []
-            for ids in model.ids([x or "" for x in array.to_pylist()]):
-                cuts = range(0, len(ids), row_tokens)
-                parts = [np.array(ids[c : c + row_tokens], dtype=kind) for c in cuts]
+            for ids in model.arrays([x or "" for x in array.to_pylist()], kind):
+                parts = [ids[c : c + row_tokens] for c in range(0, len(ids), row_tokens)]
                 out.append(
                     [{"part": i, "n": len(p), "ids": p.tobytes()} for i, p in enumerate(parts)]
                 )

@@ -13,13 +13,14 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelspark.llm.common import without
 
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 PIECE_CHARS = 1 << 16
 
 # A blank between two characters that are no white space: the blank starts the next token, and no
@@ -95,10 +96,15 @@ class Encoder:
 
     def ids(self, texts: list[str]) -> list[list[int]]:
         """The ids of each text."""
-        out: list[list[int]] = [[] for _ in texts]
+        return [x.tolist() for x in self.arrays(texts, "<u4")]
+
+    def arrays(self, texts: list[str], kind: str) -> list[np.ndarray]:
+        """The ids of each text as an array; only one batch is held as Python numbers at a time."""
+        parts: list[list[np.ndarray]] = [[] for _ in texts]
         for i, ids in self.encoded(texts):
-            out[i] = out[i] + ids if out[i] else ids
-        return out
+            parts[i].append(np.array(ids, dtype=kind))
+        nothing = np.zeros(0, dtype=kind)
+        return [np.concatenate(p) if len(p) > 1 else p[0] if p else nothing for p in parts]
 
     def lengths(self, texts: list[str]) -> list[int]:
         """The number of ids of each text."""
