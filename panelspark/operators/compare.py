@@ -26,9 +26,9 @@ def gap_vs_benchmark(
 
     The benchmark is looked up by conditional aggregation instead of a filtered self join:
     both sides then read the same exchange and the input is computed once (the filter on the
-    member is there for that: the join would infer it for one side only).  Without further
-    key columns (``within``) the lookup has one row per period, at most 12 a year whatever
-    the size of the data, and is broadcast; with them its size is open and left to AQE.
+    member is there for that: the join would infer it for one side only).  ``within`` names
+    further key columns, so that series of one kind are compared with the benchmark's of that kind.
+    The lookup is broadcast if AQE measures it small.
     """
     on = [period, *within]
     rates = rates.where(F.col(geo).isNotNull())
@@ -37,8 +37,6 @@ def gap_vs_benchmark(
         F.max(F.when(is_benchmark, F.col(geo))).alias("_benchmark"),
         F.max(F.when(is_benchmark, F.col(value))).alias(benchmark_value),
     )
-    if not within:
-        lookup = F.broadcast(lookup)
     left, right = rates.alias("member"), lookup.alias("lookup")
     # The inequality also drops periods without a benchmark row (NULL on the right).
     condition = F.col(f"member.{geo}") != F.col("lookup._benchmark")

@@ -90,8 +90,14 @@ def pivot_panel(
 ) -> DataFrame:
     """One column per listed value.  The list is given, so no extra job looks it up.
 
-    A repeated (index, column) pair raises instead of picking one of its values.
+    A value that is not listed raises instead of vanishing, and a repeated (index, column) pair
+    raises instead of picking one of its values.
     """
+    unlisted = F.raise_error(
+        F.concat(F.lit(f"pivot: no column for {columns} "), F.col(columns).cast("string"))
+    )
+    known = F.col(columns).isNull() | F.col(columns).isin(*values)
+    df = df.withColumn(columns, F.when(known, F.col(columns)).otherwise(unlisted))
     single = F.when(F.count(F.lit(1)) <= 1, F.max(value)).otherwise(
         F.raise_error(F.lit("pivot: duplicate entries for one cell"))
     )

@@ -47,11 +47,20 @@ def _since(column: str, day: str):
     return F.col(column) >= F.lit(day).cast("date")
 
 
-def _one_series(food: DataFrame, scope: Scope) -> DataFrame:
-    if scope.series_geo is not None:
-        food = food.where(F.col("geo") == scope.series_geo)
-    if scope.series_item is not None:
-        food = food.where(F.col("coicop18") == scope.series_item)
+def _index(t: Tables, s: Scope) -> DataFrame:
+    """The rows of the index the scope is about: one category, unit and frequency, so that a
+    geography is one series."""
+    return t.food.where(
+        (F.col("coicop18") == s.item) & (F.col("unit") == s.unit) & (F.col("freq") == s.freq)
+    )
+
+
+def _one_series(t: Tables, s: Scope) -> DataFrame:
+    food = t.food.where((F.col("unit") == s.unit) & (F.col("freq") == s.freq))
+    if s.series_geo is not None:
+        food = food.where(F.col("geo") == s.series_geo)
+    if s.series_item is not None:
+        food = food.where(F.col("coicop18") == s.series_item)
     return food
 
 
@@ -73,7 +82,7 @@ def _complete_food_yoy(food: DataFrame, digits: int | None) -> DataFrame:
 def mom_change(t: Tables, s: Scope) -> DataFrame:
     """Month-over-month percent change of the index."""
     changed = pct_change(
-        t.food, FOOD_KEY, "month", FOOD, previous="previous_index", out="mom_change_pct", digits=2
+        _index(t, s), FOOD_KEY, "month", FOOD, previous="previous_index", out="mom_change_pct", digits=2
     )
     return changed.select("month", "geo", FOOD, "previous_index", "mom_change_pct").orderBy(
         "geo", "month"
@@ -84,19 +93,20 @@ def mom_change(t: Tables, s: Scope) -> DataFrame:
 def yoy_change(t: Tables, s: Scope) -> DataFrame:
     """Year-over-year percent change of the index."""
     columns = ["month", "geo", FOOD, "previous_year_index", "yoy_change_pct"]
-    return _food_yoy(t.food, 2).select(*columns).orderBy("geo", "month")
+    return _food_yoy(_index(t, s), 2).select(*columns).orderBy("geo", "month")
 
 
 @statement
 def yoy_gap_vs_benchmark(t: Tables, s: Scope) -> DataFrame:
     """Year-over-year rate minus the benchmark's, both rounded before the difference."""
-    rates = _complete_food_yoy(t.food, 2).select("month", *FOOD_KEY, "yoy_change_pct")
+    rates = _complete_food_yoy(_index(t, s), 2).select("month", *FOOD_KEY, "yoy_change_pct")
     gaps = compare.gap_vs_benchmark(
         rates,
         "geo",
         "month",
         "yoy_change_pct",
         s.benchmark,
+        within=[c for c in FOOD_KEY if c != "geo"],
         benchmark_value="eu27_yoy_change_pct",
         out="gap_vs_eu27_pp",
         digits=2,
@@ -108,7 +118,7 @@ def yoy_gap_vs_benchmark(t: Tables, s: Scope) -> DataFrame:
 @statement
 def yoy_extremes(t: Tables, s: Scope) -> DataFrame:
     """Month of the highest and of the lowest rounded year-over-year rate."""
-    rates = _complete_food_yoy(t.food, 2)
+    rates = _complete_food_yoy(_index(t, s), 2)
     found = compare.extremes(rates, FOOD_KEY, "month", "yoy_change_pct")
     return found.select("month", "geo", "yoy_change_pct", "change_type").orderBy(
         "geo", "change_type"
@@ -124,7 +134,7 @@ def yoy_summary(t: Tables, s: Scope) -> DataFrame:
         "max": "max_yoy_pct",
         "stddev_pop": "yoy_volatility",
     }
-    rates = _complete_food_yoy(t.food, None)
+    rates = _complete_food_yoy(_index(t, s), None)
     return (
         compare.summary(rates, FOOD_KEY, "yoy_change_pct", names)
         .select("geo", *names.values())
@@ -155,34 +165,38 @@ def income_change(t: Tables, s: Scope) -> DataFrame:
 @statement
 def month_coverage(t: Tables, s: Scope) -> DataFrame:
     """Months available per geography and year."""
-    covered = quality.month_coverage(t.food, FOOD_KEY)
+    covered = quality.month_coverage(_index(t, s), FOOD_KEY)
     return covered.select("year", "geo", "months_available").orderBy("geo", "year")
 
 
-def _annual_food(t: Tables, years: tuple[int, int] | None, digits: int | None) -> DataFrame:
+def _annual_food(
+    t: Tables, s: Scope, years: tuple[int, int] | None, digits: int | None
+) -> DataFrame:
     return align.annual_mean(
-        t.food, FOOD_KEY, "month", FOOD, years=years, out="avg_hicp_food_index", digits=digits
+        _index(t, s), FOOD_KEY, "month", FOOD, years=years, out="avg_hicp_food_index", digits=digits
     )
 
 
 @statement
 def annual_average(t: Tables, s: Scope) -> DataFrame:
     """Annual mean of the index."""
-    means = _annual_food(t, s.same_years, 4)
+    means = _annual_food(t, s, s.same_years, 4)
     return means.select("year", "geo", "avg_hicp_food_index").orderBy("geo", "year")
 
 
 @statement
 def annual_join_income(t: Tables, s: Scope) -> DataFrame:
     """Annual mean of the index beside the income surveyed in the same year."""
-    joined = align.join_income(_annual_food(t, s.same_years, 4), t.income)
+    joined = align.join_income(_annual_food(t, s, s.same_years, 4), t.income)
     return joined.select(
         F.col("survey_year").alias("year"), "geo", "avg_hicp_food_index", PPS
     ).orderBy("geo", "year")
 
 
-def _joined_growth(t: Tables, years: tuple[int, int], shift: int, income_growth: str) -> DataFrame:
-    joined = align.join_income(_annual_food(t, years, None), t.income, reference_shift=shift)
+def _joined_growth(
+    t: Tables, s: Scope, years: tuple[int, int], shift: int, income_growth: str
+) -> DataFrame:
+    joined = align.join_income(_annual_food(t, s, years, None), t.income, reference_shift=shift)
     return align.growth_after_join(
         joined,
         FOOD_KEY,
@@ -195,7 +209,7 @@ def _joined_growth(t: Tables, years: tuple[int, int], shift: int, income_growth:
 def growth_compare_same_year(t: Tables, s: Scope) -> DataFrame:
     """Price and income growth, aligned on the survey year."""
     return (
-        _joined_growth(t, s.same_years, 0, "income_change_pct")
+        _joined_growth(t, s, s.same_years, 0, "income_change_pct")
         .select(
             F.col("survey_year").alias("year"), "geo", "food_hicp_change_pct", "income_change_pct"
         )
@@ -206,7 +220,7 @@ def growth_compare_same_year(t: Tables, s: Scope) -> DataFrame:
 @statement
 def annual_join_income_ref_year(t: Tables, s: Scope) -> DataFrame:
     """Annual mean of the index beside the income that refers to that year."""
-    joined = align.join_income(_annual_food(t, s.reference_years, 4), t.income, reference_shift=1)
+    joined = align.join_income(_annual_food(t, s, s.reference_years, 4), t.income, reference_shift=1)
     return joined.select(
         F.col("survey_year").alias("income_survey_year"),
         F.col("reference_year").alias("income_reference_year"),
@@ -217,7 +231,7 @@ def annual_join_income_ref_year(t: Tables, s: Scope) -> DataFrame:
 
 
 def _reference_growth(t: Tables, s: Scope, income_growth: str) -> DataFrame:
-    return _joined_growth(t, s.reference_years, 1, income_growth).select(
+    return _joined_growth(t, s, s.reference_years, 1, income_growth).select(
         F.col("survey_year").alias("income_survey_year"),
         F.col("reference_year").alias("income_reference_year"),
         "geo",
@@ -260,7 +274,7 @@ def affordability_gap_nonnull(t: Tables, s: Scope) -> DataFrame:
 @statement
 def food_adjusted_income_growth(t: Tables, s: Scope) -> DataFrame:
     """Income growth net of food-price growth as a ratio, everything rounded last."""
-    food = t.food.where(F.col("geo").isin(*s.income_geos))
+    food = _index(t, s).where(F.col("geo").isin(*s.income_geos))
     prices = align.annual_mean(food, FOOD_KEY, "month", FOOD)
     return align.adjusted_growth(t.income, prices, price_key=FOOD_KEY).orderBy(
         "reference_year", "geo"
@@ -332,7 +346,7 @@ def _diesel_beside_food(
     )
     names = {f"diesel_yoy_lag{n}": n for n in lags}
     diesel = add_lags(diesel, DIESEL_KEY, "month", "diesel_yoy_pct", names)
-    food = _food_yoy(t.food.where(members), digits, "food_hicp_yoy_pct")
+    food = _food_yoy(_index(t, s).where(members), digits, "food_hicp_yoy_pct")
     return (
         diesel.select("month", "geo", "diesel_yoy_pct", *names)
         .join(food.select("month", "geo", "food_hicp_yoy_pct"), ["month", "geo"])
@@ -422,7 +436,7 @@ def series_endpoints(t: Tables, s: Scope) -> DataFrame:
     """First and last index of the series."""
     return (
         compare.endpoints(
-            _one_series(t.food, s), FOOD_KEY, "month", FOOD, "first_index", "last_index"
+            _one_series(t, s), FOOD_KEY, "month", FOOD, "first_index", "last_index"
         )
         .select("geo", "coicop18", "first_index", "last_index")
         .orderBy("geo", "coicop18")
@@ -435,7 +449,7 @@ def endpoint_change(t: Tables, s: Scope) -> DataFrame:
     columns = ["first_index", "last_index", "absolute_change", "percent_change"]
     return (
         compare.endpoint_change(
-            _one_series(t.food, s), FOOD_KEY, "month", FOOD, "first_index", "last_index"
+            _one_series(t, s), FOOD_KEY, "month", FOOD, "first_index", "last_index"
         )
         .select("geo", "coicop18", *columns)
         .orderBy("geo", "coicop18")
@@ -446,7 +460,7 @@ def endpoint_change(t: Tables, s: Scope) -> DataFrame:
 def abs_monthly_change(t: Tables, s: Scope) -> DataFrame:
     """Absolute and percent monthly change of the series."""
     changed = pct_change(
-        _one_series(t.food, s), FOOD_KEY, "month", FOOD,
+        _one_series(t, s), FOOD_KEY, "month", FOOD,
         previous="previous_index", out="monthly_percent_change", digits=2,
     )
     absolute = F.col(FOOD) - F.col("previous_index")
@@ -467,7 +481,7 @@ def abs_monthly_change(t: Tables, s: Scope) -> DataFrame:
 @statement
 def month_gap_check(t: Tables, s: Scope) -> DataFrame:
     """Months between each row of the series and the row before."""
-    gaps = period_gaps(_one_series(t.food, s), FOOD_KEY)
+    gaps = period_gaps(_one_series(t, s), FOOD_KEY)
     return gaps.select("month", "geo", "previous_month", "month_gap").orderBy("geo", "month")
 
 
@@ -475,7 +489,7 @@ def month_gap_check(t: Tables, s: Scope) -> DataFrame:
 def calendar_integrity(t: Tables, s: Scope) -> DataFrame:
     """Observed, distinct, expected and missing months of the series."""
     columns = ["observations", "distinct_months", "expected_months", "missing_months"]
-    checked = quality.calendar_integrity(_one_series(t.food, s), FOOD_KEY)
+    checked = quality.calendar_integrity(_one_series(t, s), FOOD_KEY)
     return checked.select("geo", *columns).orderBy("geo")
 
 
@@ -532,9 +546,10 @@ def share_series(t: Tables, s: Scope) -> DataFrame:
 @statement
 def multi_geo_lag_listing(t: Tables, s: Scope) -> DataFrame:
     """Every index value beside the one before."""
-    previous = earlier(t.food, FOOD_KEY, "month", FOOD)
+    food = _index(t, s)
+    previous = earlier(food, FOOD_KEY, "month", FOOD)
     return (
-        t.food.withColumn("previous_index", previous)
+        food.withColumn("previous_index", previous)
         .select("month", "geo", FOOD, "previous_index")
         .orderBy("geo", "month")
     )
@@ -543,7 +558,7 @@ def multi_geo_lag_listing(t: Tables, s: Scope) -> DataFrame:
 @statement
 def yoy_single_series(t: Tables, s: Scope) -> DataFrame:
     """Year-over-year change of the series."""
-    changed = _food_yoy(_one_series(t.food, s), 2, "yearly_percent_change")
+    changed = _food_yoy(_one_series(t, s), 2, "yearly_percent_change")
     return changed.select(
         "month", "geo", FOOD, "previous_year_index", "yearly_percent_change"
     ).orderBy("geo", "month")
@@ -564,12 +579,9 @@ def food_tail(t: Tables, s: Scope) -> DataFrame:
 
 @statement
 def adjusted_growth_by_year(t: Tables, s: Scope) -> DataFrame:
-    """Adjusted income growth, one column per reference year, geographies in the stated order.
-
-    Years of the columns are those of the scope's reference range.
-    """
+    """Adjusted income growth, one column per year of the scope's ``growth_years``, geographies in
+    the stated order.  A reference year that is not listed raises."""
     growth = food_adjusted_income_growth(t, s)
-    first, last = s.reference_years
-    years = list(range(first, last + 1))
-    wide = pivot_panel(growth, ["geo"], "reference_year", years, "food_adjusted_income_growth_pct")
+    name = "food_adjusted_income_growth_pct"
+    wide = pivot_panel(growth, ["geo"], "reference_year", list(s.growth_years), name)
     return in_order(wide, "geo", s.geo_order)

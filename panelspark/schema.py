@@ -111,6 +111,10 @@ class Tables:
 class Scope:
     """What an analysis is about: members, dates and years.  The defaults are fixed values."""
 
+    # The index that analyses of the index table are about; its other rows are other series.
+    item: str = "CP01"
+    unit: str = "I25"
+    freq: str = "M"
     benchmark: str = "EU27_2020"
     diesel_geos: tuple[str, ...] = ("BG", "DE", "RO")
     income_geos: tuple[str, ...] = ("BG", "DE", "RO", "EU27_2020")
@@ -122,6 +126,8 @@ class Scope:
     since_statistics: str = "2023-01-01"
     same_years: tuple[int, int] = (2023, 2025)
     reference_years: tuple[int, int] = (2022, 2024)
+    # Columns of the growth table; a reference year that is not listed is an error.
+    growth_years: tuple[int, ...] = (2022, 2023, 2024)
 
 
 def normalise_codes(df: DataFrame, spec: TableSpec) -> DataFrame:

@@ -60,3 +60,17 @@ def test_endpoints(spark, panel_clean):
     assert (out["BG",].first_value, out["BG",].last_value) == (100.0, 114.5)
     assert out["BG",].absolute_change == 14.5 and out["BG",].percent_change == 14.5
     assert compare.endpoints(panel_clean, ["geo"], "month", "value").count() == 2
+
+
+def test_benchmark_of_the_same_series_and_no_forced_broadcast(spark):
+    rows = [("2024-01", g, c, v) for g, c, v in
+            [("EU", "CP01", 24.0), ("BG", "CP01", 12.0), ("EU", "CP02", 72.0), ("BG", "CP02", 70.0)]]
+    rates = spark.createDataFrame(rows, "month STRING, geo STRING, item STRING, pct DOUBLE")
+    gaps = compare.gap_vs_benchmark(rates, "geo", "month", "pct", "EU", within=["item"])
+    assert {r.item: r.gap_pp for r in gaps.collect()} == {"CP01": -12.0, "CP02": -2.0}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = compare.gap_vs_benchmark(rates, "geo", "month", "pct", "EU")._jdf.queryExecution()
+        assert "Broadcast" not in plan.executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

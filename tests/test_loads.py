@@ -164,3 +164,19 @@ def test_results_come_ordered(tables):
     for name, order in {"mom_change": ["geo", "month"], "diesel_vs_food_yoy": ["month", "geo"]}.items():
         rows = [tuple(r[c] for c in order) for r in run(name, tables).collect()]
         assert rows == sorted(rows)
+
+
+@pytest.mark.parametrize("name", sorted(STATEMENTS))
+def test_other_series_of_the_index_do_not_mix_in(tables, name):
+    """A second category and a second unit change nothing but the reports over the whole table."""
+    whole_table = {"series_profile", "series_profile_by_geo", "series_span", "series_span_by_geo", "food_preview", "food_tail"}
+    if name in whole_table:
+        return
+    more = tables.food
+    for column, code in (("coicop18", "CP02"), ("unit", "I15"), ("freq", "A")):
+        other = tables.food.withColumns(
+            {column: F.lit(code), "hicp_index": (F.col("hicp_index") * 3).cast("decimal(10,4)")}
+        )
+        more = more.unionByName(other)
+    mixed = Tables(food=more, income=tables.income, share=tables.share, diesel=tables.diesel)
+    assert sorted(map(repr, run(name, mixed).collect())) == sorted(map(repr, run(name, tables).collect()))

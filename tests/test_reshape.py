@@ -2,6 +2,7 @@ from datetime import date
 
 import pytest
 from conftest import by
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from panelspark.operators import reshape
@@ -77,3 +78,11 @@ def test_exact_mean_of_decimals(spark):
     )
     out = by(reshape.resample_month(df, ["geo"], "date", "v"), "geo", "month")
     assert out["a", date(2024, 1, 1)].v == 2.5
+
+
+def test_pivot_refuses_a_value_without_a_column(spark):
+    df = spark.createDataFrame([("a", 2022, 1.0), ("a", 2026, 2.0)], "g STRING, y INT, v DOUBLE")
+    with pytest.raises(PySparkException, match="no column for y 2026"):
+        reshape.pivot_panel(df, ["g"], "y", [2022, 2023], "v").collect()
+    row = reshape.pivot_panel(df, ["g"], "y", [2022, 2023, 2026], "v").first()
+    assert (row["2022"], row["2023"], row["2026"]) == (1.0, None, 2.0)

@@ -6,7 +6,9 @@ region and month, or per year.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from panelspark.plans import loads
 
 # A month or week is placed by its distance from this fixed Monday.
 ORIGIN = "1990-01-01"
@@ -105,3 +107,101 @@ def year_sheets(annual: DataFrame, value: str) -> DataFrame:
         row(46, "Food", text("v")),
     )
     return sheets.select(F.col("geo").alias("sheet"), F.inline(rows))
+
+
+def marked_documents(panel: DataFrame, places: DataFrame) -> DataFrame:
+    """The cubes of the regions with ``:`` for every third offset; regions whose name has an even
+    length give their values as a list with nulls."""
+    documents = region_documents(panel, places)
+    body = "struct<value: map<string, string>, size: array<int>>"
+    parsed = documents.withColumn("parsed", F.from_json("body", body))
+    value = F.transform_values(
+        "parsed.value",
+        lambda offset, v: F.when(offset.cast("bigint") % 3 == 0, F.lit('":"')).otherwise(v),
+    )
+    volume = F.aggregate("parsed.size", F.lit(1).cast("bigint"), lambda a, n: a * n)
+    offsets = F.transform(F.sequence(F.lit(0).cast("bigint"), volume - 1), lambda o: o.cast("string"))
+    cells = F.transform(offsets, lambda o: F.coalesce(F.try_element_at(value, o), F.lit("null")))
+    pairs = F.transform(
+        F.map_entries(value), lambda e: F.concat(F.lit('"'), e["key"], F.lit('":'), e["value"])
+    )
+    listed = F.concat(F.lit("["), F.array_join(cells, ","), F.lit("]"))
+    keyed = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+    text = F.when(F.length("document") % 2 == 0, listed).otherwise(keyed)
+    # The value stands last in the document.
+    head = F.regexp_extract("body", r'(?s)^(.*"value":)\{[^{}]*\}\}$', 1)
+    return parsed.select("document", F.concat(head, text, F.lit("}")).alias("body"))
+
+
+def _axis(label: str, codes) -> Column:
+    at = F.map_from_arrays(codes, F.sequence(F.lit(0), F.size(codes) - 1))
+    category = F.struct(at.alias("index"), F.map_from_arrays(codes, codes).alias("label"))
+    return F.struct(F.lit(label).alias("label"), category.alias("category"))
+
+
+def _cubes(rows: DataFrame, constants: dict[str, str], time: Column, value: str) -> DataFrame:
+    """One cube per geography over its periods; ``arrived`` is a fixed time."""
+    grouped = rows.groupBy("geo").agg(
+        F.array_sort(F.collect_list(F.struct(time.alias("t"), F.col(value).cast("double").alias("v")))).alias("cells")
+    )
+    names = [*constants, "geo", "time"]
+    axes = [_axis(k, F.array(F.lit(v))) for k, v in constants.items()]
+    axes += [_axis("geo", F.array("geo")), _axis("time", F.col("cells")["t"])]
+    entries = [x for name, axis in zip(names, axes, strict=True) for x in (F.lit(name), axis)]
+    sizes = [*[F.lit(1)] * (len(constants) + 1), F.size("cells")]
+    document = F.struct(
+        F.lit("cube").alias("label"),
+        F.array(*[F.lit(n) for n in names]).alias("id"),
+        F.array(*sizes).alias("size"),
+        F.create_map(*entries).alias("dimension"),
+        F.col("cells")["v"].alias("value"),
+    )
+    return grouped.select(
+        F.col("geo").alias("document"),
+        F.lit("2024-01-01").cast("timestamp").alias("arrived"),
+        F.to_json(document).alias("body"),
+    )
+
+
+def index_documents(prices: DataFrame, value: str) -> DataFrame:
+    """Cubes of the monthly index."""
+    return _cubes(prices, dict(loads.FOOD_CODES), F.date_format("month", "yyyy-MM"), value)
+
+
+def income_documents(income: DataFrame, value: str) -> DataFrame:
+    """Cubes of the annual income, and revised ones that arrive later, of even years plus 1."""
+    time = F.col("year").cast("string")
+    first = _cubes(income, loads.INCOME_DIMS, time, value)
+    changed = income.where(F.col("year") % 2 == 0).withColumn(value, F.col(value) + 1)
+    later = _cubes(changed, loads.INCOME_DIMS, time, value)
+    return first.unionByName(later.withColumn("arrived", F.lit("2024-02-01").cast("timestamp")))
+
+
+def revised_sheets(sheets: DataFrame) -> DataFrame:
+    """The sheets, first named ``v9``, and a later version named ``v10`` without its last column."""
+    at = lambda day: F.lit(day).cast("timestamp")
+    first = sheets.withColumns(
+        {"file": F.lit("v9"), "sheet": F.lit("v9"), "arrived": at("2024-01-01")}
+    )
+    raised = F.transform(
+        F.slice("cells", F.lit(1), F.size("cells") - 1),
+        lambda c, i: F.when((F.col("row_idx") == 46) & (i > 0), F.lit("50.25")).otherwise(c),
+    )
+    later = sheets.where(F.size("cells") > 1).withColumns(
+        {"cells": raised, "file": F.lit("v10"), "sheet": F.lit("v10"), "arrived": at("2024-02-01")}
+    )
+    return first.unionByName(later)
+
+
+def revised_weeks(sheet: DataFrame) -> DataFrame:
+    """A weekly sheet and a later version that holds every other week, with prices of 1000."""
+    at = lambda day: F.lit(day).cast("timestamp")
+    first = sheet.withColumns({"file": F.lit("a"), "arrived": at("2024-01-01")})
+    prices = F.transform(
+        "cells", lambda c, i: F.when((i > 0) & c.isNotNull() & (c != "n.a."), F.lit("1000")).otherwise(c)
+    )
+    later = sheet.where((F.col("row_idx") < 3) | (F.col("row_idx") % 2 == 0)).withColumns(
+        {"cells": F.when(F.col("row_idx") < 3, F.col("cells")).otherwise(prices),
+         "file": F.lit("b"), "arrived": at("2024-02-01")}
+    )
+    return first.unionByName(later)

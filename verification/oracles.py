@@ -9,6 +9,8 @@ ITEMS = """lineitem JOIN supplier ON l_suppkey = s_suppkey
 ORDER_MONTH = "CAST(date_trunc('month', o_orderdate) AS DATE)"
 SERIES = "WINDOW w AS (PARTITION BY geo ORDER BY month)"
 SINCE = "DATE '1996-07-01'"
+SAME = "WHERE year BETWEEN 1996 AND 1999"
+MEMBERS = "('AFRICA', 'ASIA', 'EUROPE')"
 
 
 def total(x: str) -> str:
@@ -61,10 +63,16 @@ HOUSEHOLD_SHARE = f"coalesce({total(HOUSEHOLD)}, 0) / {total('o_totalprice')} *
 
 CTES = {
     "food": monthly("r_name"),
+    # The whole index table: two categories, one of them in two units.
+    "index_table": f"""SELECT month, geo, coicop18, unit, 'M' AS freq,
+  CAST(f.v + more AS DECIMAL(10,4)) AS v FROM food f,
+  (VALUES ('CP01', 'I25', 0), ('CP02', 'I25', 1000), ('CP01', 'I15', 5000)) k(coicop18, unit, more)""",
     "nations": monthly("n_name"),
     "finished": monthly("n_name", "o_orderstatus = 'F'"),
     "week_prices": weekly("r_name"),
-    "diesel": f"SELECT month, geo, {dec("v")} AS v FROM ({MEAN_OF_WEEKS})",
+    "diesel": f"""SELECT month, geo, CASE WHEN geo = 'AFRICA' THEN
+  CAST(floor({dec("v")} / 50) * 50 AS DECIMAL(10,4)) ELSE {dec("v")} END AS v
+  FROM ({MEAN_OF_WEEKS})""",
     "income": f"""SELECT CAST(year(o_orderdate) AS INT) AS year, r_name AS geo,
   {dec(mean("c_acctbal"), 12, 2)} AS v FROM {ORDERS} GROUP BY ALL""",
     "share": f"""SELECT CAST(year(o_orderdate) AS INT) AS year, r_name AS geo,
@@ -80,12 +88,14 @@ CTES = {
   {growth("v", "lag(v, 12) OVER w")} AS pct FROM diesel {SERIES}""",
     "lagged": f"""SELECT month, geo, pct AS d0, lag(pct) OVER w AS d1, lag(pct, 2) OVER w AS d2,
   lag(pct, 3) OVER w AS d3 FROM diesel_rates {SERIES}""",
-    "pairs_all": "SELECT l.*, r.pct AS f FROM lagged l JOIN rates r USING (month, geo)",
+    "pairs_all": f"""SELECT l.*, r.pct AS f FROM lagged l JOIN rates r USING (month, geo)
+  WHERE geo IN {MEMBERS}""",
     "pairs": f"SELECT * FROM pairs_all WHERE month >= {SINCE}",
     "annual": """SELECT CAST(year(month) AS INT) AS year, geo, CAST(sum(v) AS DOUBLE) / count(v) AS v,
   count(*) AS n FROM food GROUP BY ALL""",
     "by_reference": """SELECT i.year AS survey, i.year - 1 AS ref, i.geo, a.v AS price, i.v AS pps
-  FROM income i JOIN annual a ON a.geo = i.geo AND a.year = i.year - 1""",
+  FROM income i JOIN annual a ON a.geo = i.geo AND a.year = i.year - 1
+  WHERE a.year BETWEEN 1995 AND 1998""",
     "reference_growth": f"""SELECT survey, ref, geo,
   (round({ratio("price", "lag(price) OVER y")}, 2) + 0) AS food_pct,
   (round({ratio("pps", "lag(pps) OVER y")}, 2) + 0) AS income_pct
@@ -95,13 +105,17 @@ CTES = {
    WINDOW y AS (PARTITION BY geo ORDER BY year)) i JOIN
   (SELECT year, geo, {growth("v", "lag(v) OVER y")} AS pct FROM annual
    WINDOW y AS (PARTITION BY geo ORDER BY year)) p ON p.year = i.ref AND p.geo = i.geo
-  WHERE i.pct IS NOT NULL""",
+  WHERE i.pct IS NOT NULL AND i.geo IN {MEMBERS}""",
+    "share_twice": """SELECT * FROM share UNION ALL
+  SELECT * FROM share WHERE geo = 'ASIA' AND year = 1996""",
     "region_span": """SELECT r_name AS document, min(month) AS lo, max(month) AS hi FROM nations
   JOIN nation ON geo = n_name JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""",
     "cells": """SELECT r_name AS document, geo, month, CAST(v AS DOUBLE) AS value FROM nations
   JOIN nation ON geo = n_name JOIN region ON n_regionkey = r_regionkey""",
 }
 USES = {
+    "index_table": ["food"],
+    "share_twice": ["share"],
     "diesel": ["week_prices"],
     "rates": ["food"],
     "nation_rates": ["nations"],
@@ -170,8 +184,7 @@ def spans(source: str, period: str, by: str = "") -> str:
 def profile(by: str) -> str:
     return f"""SELECT {by}, count(*) AS observations, min(month) AS first_month,
   max(month) AS last_month, {num("min(v)", "min_index")}, {num("max(v)", "max_index")},
-  CAST(sum(v) AS DOUBLE) / count(v) AS avg_index FROM (SELECT *, 'CP01' AS coicop18 FROM food)
-GROUP BY {by}"""
+  CAST(sum(v) AS DOUBLE) / count(v) AS avg_index FROM index_table GROUP BY {by}"""
 
 
 def integrity(source: str) -> str:
@@ -222,18 +235,18 @@ FROM income WINDOW y AS (PARTITION BY geo ORDER BY year)""",
     ),
     "month_coverage": query(COVERAGE.format("food"), "food"),
     "annual_average": query(
-        f"SELECT year, geo, {num(dec('v'), 'avg_hicp_food_index')} FROM annual", "annual"
+        f"SELECT year, geo, {num(dec('v'), 'avg_hicp_food_index')} FROM annual {SAME}", "annual"
     ),
     "annual_join_income": query(
         f"""SELECT year, geo, {num(dec("a.v"), "avg_hicp_food_index")}, {num("i.v", "income_pps")}
-FROM annual a JOIN income i USING (year, geo)""",
+FROM annual a JOIN income i USING (year, geo) {SAME}""",
         "annual",
         "income",
     ),
     "growth_compare_same_year": query(
         f"""SELECT year, geo, (round({ratio("a.v", "lag(a.v) OVER y")}, 2) + 0) AS food_hicp_change_pct,
   (round({ratio("i.v", "lag(i.v) OVER y")}, 2) + 0) AS income_change_pct
-FROM annual a JOIN income i USING (year, geo) WINDOW y AS (PARTITION BY geo ORDER BY year)""",
+FROM annual a JOIN income i USING (year, geo) {SAME} WINDOW y AS (PARTITION BY geo ORDER BY year)""",
         "annual",
         "income",
     ),
@@ -336,35 +349,36 @@ FROM pairs""",
     ),
     "series_endpoints": query(
         f"""SELECT geo, 'CP01' AS coicop18, {num("arg_min(v, month)", "first_index")},
-  {num("arg_max(v, month)", "last_index")} FROM food GROUP BY geo""",
+  {num("arg_max(v, month)", "last_index")} FROM food WHERE geo = 'ASIA' GROUP BY geo""",
         "food",
     ),
     "endpoint_change": query(
         f"""SELECT geo, 'CP01' AS coicop18, {num("a", "first_index")}, {num("b", "last_index")},
   {num("b - a", "absolute_change")}, (round({growth("b", "a")}, 2) + 0) AS percent_change
-FROM (SELECT geo, arg_min(v, month) AS a, arg_max(v, month) AS b FROM food GROUP BY geo)""",
+FROM (SELECT geo, arg_min(v, month) AS a, arg_max(v, month) AS b FROM food WHERE geo = 'ASIA' GROUP BY geo)""",
         "food",
     ),
     "abs_monthly_change": query(
         f"""SELECT month, geo, {INDEX}, {num("lag(v) OVER w", "previous_index")},
   {num("v - lag(v) OVER w", "absolute_monthly_change")},
-  (round({growth("v", "lag(v) OVER w")}, 2) + 0) AS monthly_percent_change FROM food {SERIES}""",
+  (round({growth("v", "lag(v) OVER w")}, 2) + 0) AS monthly_percent_change FROM food WHERE geo = 'ASIA' {SERIES}""",
         "food",
     ),
     "month_gap_check": query(
         f"""SELECT month, geo, lag(month) OVER w AS previous_month,
-  CAST(date_diff('month', lag(month) OVER w, month) AS INT) AS month_gap FROM food {SERIES}""",
+  CAST(date_diff('month', lag(month) OVER w, month) AS INT) AS month_gap FROM food WHERE geo = 'ASIA' {SERIES}""",
         "food",
     ),
-    "calendar_integrity": query(integrity("food"), "food"),
-    "series_profile": query(profile("geo, coicop18"), "food"),
-    "series_profile_by_geo": query(profile("geo"), "food"),
-    "series_span": query(spans("food", "month"), "food"),
-    "series_span_by_geo": query(spans("food", "month", "geo"), "food"),
+    "calendar_integrity": query(integrity("food WHERE geo = 'ASIA'"), "food"),
+    "series_profile": query(profile("geo, coicop18"), "index_table"),
+    "series_profile_by_geo": query(profile("geo"), "index_table"),
+    "series_span": query(spans("index_table", "month"), "index_table"),
+    "series_span_by_geo": query(spans("index_table", "month", "geo"), "index_table"),
     "diesel_span": query(spans("diesel", "month"), "diesel"),
-    "share_span": query(spans("share", "year"), "share"),
+    "share_span": query(spans("share_twice", "year"), "share_twice"),
     "share_duplicate_keys": query(
-        "SELECT year, geo, count(*) AS row_count FROM share GROUP BY ALL HAVING count(*) > 1", "share"
+        "SELECT year, geo, count(*) AS row_count FROM share_twice GROUP BY ALL HAVING count(*) > 1",
+        "share_twice",
     ),
     "share_series": query(
         f"SELECT year, {num('v', 'food_expenditure_share_pct')} FROM share WHERE geo = 'EUROPE'",
@@ -376,18 +390,18 @@ FROM (SELECT geo, arg_min(v, month) AS a, arg_max(v, month) AS b FROM food GROUP
     ),
     "yoy_single_series": query(
         f"""SELECT month, geo, {INDEX}, {num("base", "previous_year_index")},
-  (round(pct, 2) + 0) AS yearly_percent_change FROM rates""",
+  (round(pct, 2) + 0) AS yearly_percent_change FROM rates WHERE geo = 'ASIA'""",
         "rates",
     ),
     "food_preview": query(
-        f"""SELECT month, geo, 'CP01' AS coicop18, 'I25' AS unit, 'M' AS freq, {INDEX}
-FROM food ORDER BY month, geo LIMIT 5""",
-        "food",
+        f"""SELECT month, geo, coicop18, unit, freq, {INDEX}
+FROM index_table ORDER BY month, geo, coicop18, unit, freq LIMIT 5""",
+        "index_table",
     ),
     "food_tail": query(
-        f"""SELECT month, geo, 'CP01' AS coicop18, 'I25' AS unit, 'M' AS freq, {INDEX}
-FROM food ORDER BY month DESC, geo DESC LIMIT 5""",
-        "food",
+        f"""SELECT month, geo, coicop18, unit, freq, {INDEX}
+FROM index_table ORDER BY month DESC, geo DESC, coicop18 DESC, unit DESC, freq DESC LIMIT 5""",
+        "index_table",
     ),
     "adjusted_growth_by_year": query(
         "SELECT geo, "
@@ -408,6 +422,11 @@ LEFT JOIN nations USING (geo, month)"""
 YOY_COLUMNS = f"month, geo, {num('v', 'value')}, {num('base', 'previous_value')}, pct AS yoy_pct"
 LISTED = ["EUROPE", "ASIA", "ATLANTIS", "AFRICA", "AMERICA", "MIDDLE EAST"]
 
+# Cells with their offset in the cube of their region.
+OFFSETS = """SELECT c.*, (dense_rank() OVER (PARTITION BY c.document ORDER BY c.geo) - 1)
+    * (date_diff('month', lo, hi) + 1) + date_diff('month', lo, month) AS place
+  FROM cells c JOIN region_span s ON s.document = c.document"""
+
 OPERATORS = {
     "pivot_panel": query(
         "SELECT geo, "
@@ -496,7 +515,10 @@ FROM pairs_all GROUP BY geo""",
         "pairs_all",
     ),
     "annual_complete_years": query(
-        f"SELECT year, geo, {num(dec('v'), 'annual_mean')} FROM annual WHERE n >= 12", "annual"
+        f"""SELECT year, geo, coicop18, unit, {num(dec("CAST(sum(v) AS DOUBLE) / count(v)"), "annual_mean")}
+FROM (SELECT *, CAST(year(month) AS INT) AS year FROM index_table)
+GROUP BY year, geo, coicop18, unit HAVING count(*) >= 12""",
+        "index_table",
     ),
     "upsert_last_write_wins": """SELECT c_custkey AS custkey,
   coalesce(last_price, c_acctbal) AS amount FROM customer LEFT JOIN
@@ -513,10 +535,10 @@ FROM pairs_all GROUP BY geo""",
   count(*) FILTER (length(o_orderstatus) > 10) AS unit_longer_than_10,
   count(*) FILTER (length(o_orderstatus) > 1) AS freq_longer_than_1 FROM orders""",
     "lenient_parse": """SELECT o_orderpriority, count(*) AS observations,
-  count(*) FILTER (o_orderstatus = 'F') AS dates,
-  max(CAST(o_orderdate AS DATE)) FILTER (o_orderstatus = 'F') AS last_day,
-  count(*) FILTER (o_orderstatus <> 'O') AS numbers,
-  max((round(o_totalprice, 2) + 0)) FILTER (o_orderstatus <> 'O') AS max_amount
+  count(*) FILTER (o_orderkey % 7 <> 6) AS dates,
+  max(CAST(o_orderdate AS DATE)) FILTER (o_orderkey % 7 <> 6) AS last_day,
+  count(*) FILTER (o_orderstatus <> 'O' AND o_orderkey % 7 <> 3) AS numbers,
+  max((round(o_totalprice, 2) + 0)) FILTER (o_orderstatus <> 'O' AND o_orderkey % 7 <> 3) AS max_amount
 FROM orders GROUP BY o_orderpriority""",
     "drop_missing": query(
         f"SELECT {YOY_COLUMNS} FROM nation_calendar WHERE pct IS NOT NULL", "nation_calendar"
@@ -591,7 +613,8 @@ LEFT JOIN cells c USING (document, geo, month)""",
     ),
     "cube_labels": query(
         """SELECT 'M' AS freq, 'I25' AS unit, geo, 'Nation ' || split_part(geo, '_', 2) AS country,
-  strftime(month, '%Y-%m') AS time, value FROM cells""",
+  strftime(month, '%Y-%m') AS time, value FROM cells
+WHERE CAST(split_part(geo, '_', 2) AS INT) % 3 = 0""",
         "cells",
     ),
     "cube_metadata": query(
@@ -643,6 +666,44 @@ FROM share GROUP BY geo""",
     "grid_header_mismatches": """SELECT 'weekly' AS sheet, CAST(0 AS BIGINT) AS row,
   CAST(6 AS INT) AS column, 'ASIA' AS expected, 'AMERICA' AS found
 UNION ALL SELECT 'weekly', 1, 9, 'EUROPE', 'ASIA'""",
+    "cube_decode_dirty": query(
+        f"SELECT document, geo, month, value FROM ({OFFSETS}) WHERE place % 3 <> 0", "region_span", "cells"
+    ),
+    "cube_marks": query(
+        f"""SELECT document, ':' AS mark, count(*) AS cells FROM ({OFFSETS})
+WHERE place % 3 = 0 GROUP BY document""",
+        "region_span",
+        "cells",
+    ),
+    "food_index_rows": query(
+        f"""SELECT month, geo, 'CP01' AS coicop18, 'I25' AS unit, 'M' AS freq, {INDEX} FROM food
+WHERE geo IN {MEMBERS} AND month BETWEEN DATE '1996-01-01' AND DATE '2000-06-01'""",
+        "food",
+    ),
+    "income_rows": query(
+        f"""SELECT year, geo, CAST(v + (CASE WHEN year % 2 = 0 THEN 1 ELSE 0 END) AS DOUBLE) AS income_pps
+FROM income WHERE geo IN {MEMBERS} AND year BETWEEN 1996 AND 2000""",
+        "income",
+    ),
+    "food_share_rows": query(
+        """SELECT year, geo, CASE WHEN year = max(year) OVER () THEN CAST(v AS DOUBLE) ELSE 50.25 END
+  AS food_expenditure_share_pct FROM share WHERE geo = 'ASIA'""",
+        "share",
+    ),
+    "diesel_revisions": query(
+        f"""SELECT CAST(date_trunc('month', day) AS DATE) AS month, geo,
+  {num(dec("CAST(sum(w) AS DOUBLE) / count(w)"), "diesel_price_per_1000l")} FROM (
+  SELECT day, geo, CASE WHEN (date_diff('day', DATE '1990-01-01', day) // 7 + 3) % 2 = 0
+    THEN 1000.0000 ELSE v END AS w FROM week_prices WHERE day >= DATE '1996-01-01')
+GROUP BY ALL""",
+        "week_prices",
+    ),
+    "narrow": f"""SELECT c_nationkey AS year, c_mktsegment AS geo, c_custkey,
+  {num(dec("c_acctbal / 1000", 5, 2), "food_expenditure_share_pct")} FROM customer""",
+    "upsert_with_duplicate_target": """SELECT l_suppkey AS key, l_extendedprice AS amount FROM lineitem
+WHERE l_suppkey % 3 <> 0
+UNION ALL SELECT l_suppkey, arg_max(l_quantity, (l_orderkey, l_linenumber)) FROM lineitem
+WHERE l_suppkey % 3 = 0 GROUP BY l_suppkey""",
 }
 
 
