@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import hash_unit, stored, without
+from panelspark.llm.common import hash_unit, quoted, stored, without
 
 #: Bound of the training sample, in labelled documents.
 SAMPLE_DOCS = 8000
@@ -28,6 +28,10 @@ SAMPLE_DOCS = 8000
 #: sentences at least).
 CHANCE = 0.05
 MIN_SENTENCES = 3
+OWN_SHARE = 0.9
+#: Its odds must also be this many times those of all sentences: in a large sample, chance alone does not
+#: explain that a language's common words are a little more frequent in toxic documents.
+ODDS = 4.0
 #: Lengths of word beginnings.
 SHORTEST, LONGEST = 3, 6
 #: Sentence score from which a sentence is reported as offending.
@@ -148,8 +152,8 @@ def fit(
 
     About ``sample_docs`` labelled documents at most train it, chosen by the hash of the key. Rows without
     key or label do not count; a key with several labels is toxic if one of them is. Equal texts with equal
-    labels count once, and words once per different sentence, so copies of a document weigh as one. Without labelled documents,
-    every score is 0.
+    labels count once, and words once per different sentence, so copies of a document weigh as one.
+    Without labelled documents, every score is 0.
     """
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     per_key = known.groupBy(F.col(key).alias("__key")).agg(F.max(F.col(label).cast("int")).alias("y"))
@@ -175,10 +179,7 @@ def fit(
 
 
 def _vocabulary(chosen: DataFrame) -> list[str]:
-    """The features that are evidence, sorted.
-
-    A longer feature adds nothing if a beginning of it has been chosen and is as pure.
-    """
+    """The features that are evidence, sorted."""
     sentences = chosen.select("y", F.explode(_sentence_words(F.col("text"))).alias("words"))
     different = stored(sentences.groupBy("words").agg(F.max("y").alias("y")))
     size, positive = different.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
@@ -204,13 +205,27 @@ def _vocabulary(chosen: DataFrame) -> list[str]:
     limit = 2 * math.log(max(tested.count(), 1) / CHANCE)
     n, k = F.col("n"), F.col("k")
     clean = F.when(n > k, (n - k) * F.log((n - k) / (n * (1 - p)))).otherwise(0.0)
-    kept = tested.where((k > n * p) & (2 * (k * F.log(k / (n * p)) + clean) >= limit))
-    pure = {r["feature"]: r["k"] / r["n"] for r in kept.collect()}
-    return sorted(
-        f
-        for f, share in pure.items()
-        if not any(share <= pure.get(b, -1.0) for b in word_features(f.rstrip("$"))[1:] if b != f)
-    )
+    kept = tested.where((k * (1 - p) >= (n - k) * (ODDS * p)) & (2 * (k * F.log(k / (n * p)) + clean) >= limit))
+    return without_doubles({r["feature"]: (r["n"], r["k"]) for r in kept.collect()})
+
+
+def without_doubles(counted: dict[str, tuple[int, int]]) -> list[str]:
+    """The features that say something of their own, sorted; ``counted`` has (all, toxic) of each.
+
+    A longer feature adds nothing to a beginning that is as pure. A beginning adds nothing to a purer
+    feature that it begins if that one accounts for nearly all its toxic sentences.
+    """
+    share = {f: k / n for f, (n, k) in counted.items()}
+    dropped = set()
+    for feature, (_, k) in counted.items():
+        for shorter in word_features(feature.rstrip("$"))[1:]:
+            if shorter == feature or shorter not in counted:
+                continue
+            if share[feature] <= share[shorter]:
+                dropped.add(feature)
+            elif k >= OWN_SHARE * counted[shorter][1]:
+                dropped.add(shorter)
+    return sorted(counted.keys() - dropped)
 
 
 def _sentence_words(text: Column) -> Column:
@@ -272,7 +287,7 @@ def score_documents(docs: DataFrame, model: ToxicityModel, text: str = "text") -
     convert.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     udf = F.arrow_udf(convert, f"score double, offending {_SPAN}").asNondeterministic()
     base = without(docs, ["score", "offending"])
-    columns = [F.col(c) for c in base.columns]
+    columns = [F.col(quoted(c)) for c in base.columns]
     return base.withColumn("__found", udf(F.col(text))).select(
         *columns, "__found.score", "__found.offending"
     )

@@ -4,7 +4,9 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from panelspark.llm.queries import op4_toxicity
-from panelspark.llm.toxicity import Evidence, ToxicityModel, fit, fit_noisy_or, score_documents
+from panelspark.llm.toxicity import (
+    Evidence, ToxicityModel, fit, fit_noisy_or, score_documents, without_doubles,
+)
 
 GATE = "/root/testdata/sf0.01"
 
@@ -70,3 +72,9 @@ def test_odd_documents(spark, odd_documents, no_documents):
     nothing = fit(odd_documents, labels.limit(0))
     assert {r["score"] for r in score_documents(odd_documents, nothing).collect()} == {0.0}
     assert score_documents(no_documents, model).count() == 0
+
+
+def test_features_that_say_the_same():
+    counted = {"los": (115, 105), "lost": (104, 104), "lostr": (104, 104), "lostra$": (50, 50), "idi": (9, 9),
+               "mor": (100, 50), "moro": (20, 20)}
+    assert without_doubles(counted) == ["idi", "lost", "mor", "moro"]
