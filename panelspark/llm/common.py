@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from functools import lru_cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,16 +19,21 @@ SPACE_CLASS = r"\x20\x09-\x0D"
 def scratch_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    A session without that setting (tests, one machine) gets a folder of its own; a cluster must
+    A session on one machine without that setting (tests) gets a folder of its own; a cluster must
     set it, because a local folder of the driver is out of the executors' reach.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="panelspark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _own_folder()
+
+
+@lru_cache(maxsize=1)
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="panelspark-")
 
 
 def ship_package(spark: SparkSession) -> None:

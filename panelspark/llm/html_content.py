@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelspark.llm.common import quoted
 from panelspark.llm.labelled_pages import LABELLED_PAGES
 
 # Elements by role (fixed values).
@@ -382,6 +383,6 @@ def extract(pages: DataFrame, model: ContentModel, html: str = "html") -> DataFr
     convert.__annotations__ = {"arrays": Iterator[pa.Array], "return": Iterator[pa.Array]}
     body = F.arrow_udf(convert, "string").asNondeterministic()(F.col(html))
     names = {"text", "n_chars"}
-    kept = [F.col(c) for c in pages.columns if c.lower() not in names]
+    kept = [F.col(quoted(c)) for c in pages.columns if c.lower() not in names]
     found = pages.select(*kept, body.alias("text"))
     return found.withColumn("n_chars", F.length("text").cast("long"))

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import hash_unit, without
+from panelspark.llm.common import hash_unit, quoted, without
 from panelspark.llm.linear_svm import train_svm
 
 UNKNOWN = "und"
@@ -219,7 +219,7 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     """
     base = without(docs, ["lang_pred", "score"])
     found = base.withColumn("__found", predict(F.col(text), model))
-    columns = [F.col(c) for c in base.columns]
+    columns = [F.col(quoted(c)) for c in base.columns]
     return found.select(*columns, "__found.lang_pred", "__found.score")
 
 

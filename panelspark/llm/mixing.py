@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import stored, without
+from panelspark.llm.common import quoted, stored, without
 
 #: Expected copies are whole multiples of 1 / UNIT, so sums are exact in any order.
 UNIT_BITS = 24
@@ -167,7 +167,7 @@ def systematic_copies(
         "long"
     )
     below = F.col("__start") + F.coalesce(F.sum("__rate").over(in_part), zero) + offset
-    kept = [F.col(c) for c in sized.columns if c.lower() not in {"source_size", "target", "copies"}]
+    kept = [F.col(quoted(c)) for c in sized.columns if c.lower() not in {"source_size", "target", "copies"}]
     return (
         joined.withColumn("__below", below)
         .select(

@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelspark.llm import decontaminate, html_content, language_id, mixing, packing, pii, simhash, token_counts, topk, toxicity
+from panelspark.llm import (
+    decontaminate,
+    html_content,
+    language_id,
+    mixing,
+    packing,
+    pii,
+    simhash,
+    token_counts,
+    topk,
+    toxicity,
+)
 from panelspark.llm.common import ship_package, stored, word_count
 
 

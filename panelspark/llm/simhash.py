@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelspark.llm.common import stored, without
+from panelspark.llm.common import quoted, stored, without
 from panelspark.llm.components import components
 
 BITS = 64
@@ -139,7 +139,7 @@ def near_duplicates(
 def with_components(prints: DataFrame, key: str, max_distance: int) -> DataFrame:
     """Stored rows with a fingerprint ``fp``: ``fingerprint`` and ``component_id`` in its place."""
     found = fingerprint_components(prints.select(key, "fp"), key, max_distance).drop("label")
-    columns = [c for c in prints.columns if c != "fp"]
+    columns = [quoted(c) for c in prints.columns if c != "fp"]
     return prints.join(found, "fp").select(
         *columns,
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),

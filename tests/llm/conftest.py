@@ -42,7 +42,7 @@ def odd_documents(spark):
     schema = "doc_id long, text string, lang string, source string"
     clashing = (
         "cast(7 as int) as n_tokens, 'x' as Score, 'x' as fingerprint, 'x' as component_id, 'x' as copies, "
-        "'x' as target, 'x' as items, 'x' as lang_pred, 'x' as spans, 'x' as fp, 'x' as size_"
+        "'x' as target, 'x' as items, 'x' as lang_pred, 'x' as spans, 'x' as fp, 'x' as `a.b`"
     )
     return spark.createDataFrame(rows, schema).selectExpr("*", *clashing.split(", "))
 
