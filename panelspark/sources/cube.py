@@ -61,7 +61,17 @@ def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
     cells = F.when(F.col("doc.value").isNotNull(), from_object).otherwise(
         F.when(listed.isNotNull(), from_list).otherwise(empty)
     )
-    return parsed.withColumn("cells", cells)
+    return _once(parsed.withColumn("cells", cells), ["doc", "cells"])
+
+
+def _once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``df`` with the columns evaluated once for a row, however often they are used.
+
+    Projections are merged and would evaluate them at every use; an explode of one element is not.
+    """
+    kept = [c for c in df.columns if c not in columns]
+    one = F.explode(F.array(F.struct(*columns))).alias("_once")
+    return df.select(*kept, one).select(*kept, "_once.*")
 
 
 def cell_marks(raw: DataFrame, keep: Sequence[str] = (), body: str = "body") -> DataFrame:
@@ -140,6 +150,7 @@ def decode_cube(
 
     wanted = {dim: positions_of(dim, codes) for dim, codes in (where or {}).items()}
     docs = docs.withColumns({f"_wanted_{dim}": positions for dim, positions in wanted.items()})
+    docs = _once(docs, [*columns, *(f"_wanted_{dim}" for dim in wanted)])
 
     def position(offset: Column, dim: str) -> Column:
         at = F.pmod(F.floor(offset / F.col(f"_stride_{dim}")), F.col(f"_size_{dim}"))
@@ -158,12 +169,9 @@ def decode_cube(
         kept = cell["value"].isNotNull()
         for dim in wanted:
             kept = kept & F.array_contains(f"_wanted_{dim}", position(cell["offset"], dim))
-        return kept
+        outside = (cell["offset"] >= F.col("_volume")) | (cell["offset"] < 0)
+        return F.when(outside, F.raise_error(F.lit("cube has cells outside its dimensions"))).otherwise(kept)
 
-    outside = F.exists(
-        "cells", lambda c: (c["offset"] >= F.col("_volume")) | (c["offset"] < 0)
-    )
-    stray = F.raise_error(F.lit("cube has cells outside its dimensions"))
     present = F.filter("cells", chosen)
     rows = F.transform(present, lambda c: row(c["offset"], c["value"]))
     if on_missing != "drop":
@@ -185,7 +193,7 @@ def decode_cube(
             rows = F.when(complete, rows).otherwise(
                 F.raise_error(F.concat(F.lit("empty cells: "), F.size(empty).cast("string")))
             )
-    rows = F.when(sound, F.when(outside, stray).otherwise(rows)).otherwise(unsound)
+    rows = F.when(sound, rows).otherwise(unsound)
     return docs.select(*keep, F.inline(rows))
 
 
