@@ -25,13 +25,28 @@ from panelspark.llm.labelled_pages import LABELLED_PAGES
 # Elements by role (fixed values).
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i ins kbd mark nobr q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr img".split()
+    "small span strike strong sub sup time tt u var wbr img area param source track "
+    # Formulas
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts none mtable mtr mtd maction semantics".split()
 )
-#: Nothing below these is text of the page.
+#: Nothing below these is text of the page: scripts, styles, drawings, frames, parts of forms, what is never
+#: shown (a formula's source in another notation, templates).
 HIDDEN = frozenset(
-    "script style noscript template head title svg math iframe object canvas select option button textarea "
-    "datalist audio video map".split()
+    "script style template head title svg iframe select option button textarea datalist annotation "
+    "annotation-xml".split()
 )
+#: Their text stands in for what cannot be shown. It is text of the block around or, outside any block, a
+#: node of its own.
+FALLBACK = frozenset("object audio video noscript canvas map".split())
+#: What a head holds; any other element ends a head without an end tag.
+IN_HEAD = frozenset("base link meta script style noscript template title".split())
+#: Elements that end an unclosed drawing, and the parts of one that hold elements of the page.
+ENDS_SVG = frozenset(
+    "article aside b blockquote br center code dd div dl dt em footer h1 h2 h3 h4 h5 h6 header hr i img li main "
+    "menu nav ol p pre ruby s section small span strong sub sup table tt u ul var".split()
+)
+IN_SVG = ("foreignobject", "desc", "title")
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
@@ -52,7 +67,7 @@ TAG_GROUPS = {
     "table": "table tbody thead tfoot tr td th caption",
     "article": "article",
     "main": "main",
-    "container": "div section center html body",
+    "container": "div section center html body object audio video noscript canvas map",
     "nav": "nav",
     "header": "header",
     "footer": "footer address",
@@ -117,7 +132,8 @@ class _Reader:
         self.parents, self.tags, self.words, self.labels = [-1], ["html"], [[]], [0]
         self.stack = [0]
         self.open: dict[str, int] = {"html": 1}
-        self.hidden: list[str] = []
+        self.hidden: list[str] = []  # a hidden element and the open elements in it
+        self.inside: dict[str, int] = {}  # their number by name
         self.linked = 0
         self.runs: list[tuple[int, list[str]]] = []
         self.text_size, self.link_size = [0], [0]
@@ -143,6 +159,11 @@ class _Reader:
                 if match[1]:
                     self.handle_endtag(name)
                     continue
+                empty = match[3].endswith("/") and (
+                    name in {"svg", "math"} or bool(self.inside.get("svg"))
+                )
+                if empty:
+                    continue
                 self.handle_starttag(name, match[3])
                 if name in RAW:
                     close = RAW[name].search(html, at)
@@ -159,15 +180,16 @@ class _Reader:
 
     def handle_starttag(self, tag: str, attrs: str) -> None:
         if self.hidden:
-            if tag == "body":
-                self.hidden = []
-            elif tag == self.hidden[-1] and tag not in VOID:
+            if tag in {"button", "select"} and self.inside.get(tag):
+                self._show(tag)  # these do not nest
+            elif tag == "body" or (self.hidden == ["head"] and tag not in IN_HEAD):
+                self._show(self.hidden[0])
+            elif tag in ENDS_SVG and self.inside.get("svg") and not any(map(self.inside.get, IN_SVG)):
+                self._show("svg")
+        if self.hidden or tag in HIDDEN:
+            if tag not in VOID:
                 self.hidden.append(tag)
-                return
-            else:
-                return
-        if tag in HIDDEN:
-            self.hidden = [tag]
+                self.inside[tag] = self.inside.get(tag, 0) + 1
             return
         if tag in INLINE:
             if tag == "a":
@@ -179,6 +201,10 @@ class _Reader:
             self._attributes(0, attrs)
             self.broken = True
             return
+        if tag in FALLBACK:
+            if self.stack[-1] == 0:
+                self._open(tag, attrs)
+            return
         # A block ends an open paragraph, an item ends its predecessor.
         if self.open.get("p"):
             self._close("p")
@@ -192,8 +218,10 @@ class _Reader:
             elif name in stops or not ends:
                 break
         self.broken = True
-        if tag in VOID:
-            return
+        if tag not in VOID:
+            self._open(tag, attrs)
+
+    def _open(self, tag: str, attrs: str) -> None:
         node = len(self.tags)
         self.parents.append(self.stack[-1])
         self.tags.append(tag)
@@ -218,8 +246,17 @@ class _Reader:
     def _pop(self, index: int) -> None:
         for node in self.stack[index:]:
             self.open[self.tags[node]] -= 1
+            if self.tags[node] not in FALLBACK:
+                self.linked, self.broken = 0, True
         del self.stack[index:]
-        self.linked, self.broken = 0, True
+
+    def _show(self, tag: str) -> None:
+        """Ends the innermost open ``tag`` of the hidden elements, with all in it."""
+        while True:
+            name = self.hidden.pop()
+            self.inside[name] -= 1
+            if name == tag:
+                return
 
     def _close(self, tag: str) -> None:
         for index in range(len(self.stack) - 1, 0, -1):
@@ -229,9 +266,14 @@ class _Reader:
 
     def handle_endtag(self, tag: str) -> None:
         if self.hidden:
-            if tag == self.hidden[-1]:
-                self.hidden.pop()
-        elif tag == "a":
+            if self.inside.get(tag):
+                self._show(tag)
+                return
+            # The end of an element around it ends a hidden element without an end tag.
+            if not (self.linked if tag == "a" else tag not in {"html", "body"} and self.open.get(tag)):
+                return
+            self.hidden, self.inside = [], {}
+        if tag == "a":
             self.linked = 0
         elif tag not in INLINE and tag not in {"html", "body"} and self.open.get(tag):
             self._close(tag)
@@ -242,7 +284,10 @@ class _Reader:
         node = self.stack[-1]
         if "&" in data:
             data = unescape(data)
-        if self.broken or not self.runs:
+        blank = self.tags[node] in FALLBACK and not data.strip()
+        if self.broken or not self.runs or (self.runs[-1][0] != node and not blank):
+            if blank:
+                return
             self.runs.append((node, []))
             self.broken = False
         self.runs[-1][1].append(data)
@@ -251,11 +296,29 @@ class _Reader:
         if self.linked:
             self.link_size[node] += size
 
+    def drop_empty(self) -> None:
+        """Takes out stand-ins without text, so that a picture's or a film's does not change the tree."""
+        used = set(self.parents)
+        kept = [
+            node
+            for node, tag in enumerate(self.tags)
+            if tag not in FALLBACK or self.text_size[node] or node in used
+        ]
+        if len(kept) == len(self.tags):
+            return
+        number = {node: i for i, node in enumerate(kept)} | {-1: -1}
+        self.parents = [number[self.parents[node]] for node in kept]
+        for name in ("tags", "words", "labels", "text_size", "link_size"):
+            values = getattr(self, name)
+            setattr(self, name, [values[node] for node in kept])
+        self.runs = [(number[node], parts) for node, parts in self.runs]
+
 
 def read_page(html: str | None) -> Page:
     """The nodes and text runs of a page; one node and no run for an empty page."""
     reader = _Reader()
     reader.feed(html or "")
+    reader.drop_empty()
     runs = [(node, " ".join("".join(parts).split())) for node, parts in reader.runs]
     own = [""] * len(reader.tags)
     for node, text in runs:

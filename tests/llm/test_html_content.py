@@ -93,3 +93,40 @@ def test_odd_pages(spark, model):
 @pytest.mark.parametrize("piece", ["<", "<p>", "<div>", "<a b=\"", "</p>", "<!--", "&", "<b>x", "<li>", "<p a='"])
 def test_time_is_linear(model, piece):
     model.text(piece * 30000)
+
+
+def test_hidden_elements_end():
+    """Empty and unclosed hidden elements do not take the text after them."""
+    for icon in ("<svg class='i' />", "<svg/>", "<math/>", "<svg><path d='M0'/><title/><g></svg>", "<svg><path></svg>"):
+        assert runs(f"<article><p>one {icon}two</p><p>three</p></article>") == ["one two", "three"]
+    assert runs("<div><p>a <svg><path d=''><p>b</div>c") == ["a", "b", "c"]
+    assert runs("<p><a href=x><svg></a>b</p>c") == ["b", "c"]
+    for tag in ("button", "select", "template", "svg", "datalist"):
+        assert runs(f"<div><section>a<{tag}>no</section>b</div><p>c") == ["a", "b", "c"]
+        assert runs(f"<div>a<{tag}><g>no</g>no</{tag}> b</div>c") == ["a b", "c"]
+    assert runs("<div>a<button><div>no</div>no<button>no<svg/>no</button> b</div>c") == ["a b", "c"]
+    assert runs("<svg><foreignObject><p>no</p></foreignObject></svg>a") == ["a"]
+    assert runs("<head><meta a=b><title>no</title><style>no</style><p>a") == ["a"]
+
+
+def test_formulas_and_stand_ins_are_left_to_the_model(model):
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>no</annotation></semantics></math>"
+    assert runs(f"<p>so {formula} holds</p>") == ["so x=2 holds"]
+    for tag in ("object", "audio", "video", "noscript", "canvas", "map"):
+        assert runs(f"<p>a <{tag}><source src=x>b</{tag}> c</p>d") == ["a b c", "d"]
+        assert runs(f"<p>a <{tag}> <img src=x> </{tag}>c</p>d") == ["a c", "d"]
+        assert runs(f"<article><p>a<{tag}></p><p>b</article>c") == ["a", "b", "c"]
+        plain = H.read_page("<div><p>a</p><p>b</p></div>c")
+        assert H.read_page(f"<{tag}><img></{tag}><div><p>a<{tag}> </{tag}></p><p>b</p></div>c<{tag}>") == plain
+        assert H.read_page(f"a<{tag}>b</{tag}>c").runs == [(0, "a"), (1, "b"), (0, "c")]
+    text = "A long sentence of an article that says what there is to say, and then some more of the same."
+    for tag in ("object", "audio", "video", "noscript"):
+        inside = (f"<h1>On films</h1><p>{text} <{tag}>{text}</{tag}></p><{tag}>{text}</{tag}>"
+                  f"<{tag}><p>{text}</p></{tag}><p>{text} {formula}</p>")
+        found = model.text(f"<body><noscript>No scripts.</noscript><nav><a href=a>Home</a></nav><article>{inside}</article></body>")
+        assert found.startswith("On films") and found.count(text) == 5 and found.endswith("x=2")
+
+
+@pytest.mark.parametrize("piece", ["<svg>", "<video>", "<button><i></b>", "<template><b></i>", "<svg><p>", "<noscript>x"])
+def test_time_of_hidden_elements_is_linear(model, piece):
+    model.text("<div>" + piece * 30000 + "</p>" * 30000)
