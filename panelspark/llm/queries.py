@@ -15,15 +15,17 @@ from panelspark.llm import (
     decontaminate,
     html_content,
     language_id,
+    matched_packing,
     mixing,
     packing,
+    periodic_runs,
     pii,
     simhash,
     token_counts,
     topk,
     toxicity,
 )
-from panelspark.llm.common import ship_package, stored, word_count
+from panelspark.llm.common import SPACE_CLASS, ship_package, stored, word_count
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -118,6 +120,55 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = matched_packing.place(docs, vocabulary("byte_bpe_50k.json"))
+    return placed.select(
+        F.col("key").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+def planted_repeats(key: Column, text: Column) -> Column:
+    """The contract's texts: in one document of ten, by hash, the words from one on repeat a block.
+
+    With n words, h the CRC of the key, g = h div 10 and a = g mod n, the words from a on repeat the first
+    1 + (n - a) div (3 + g mod 8) of them. A NULL key plants nothing.
+    """
+    words = F.regexp_extract_all(text, F.lit(f"[^{SPACE_CLASS}]+"), F.lit(0))
+    h = F.crc32(key.cast("string"))
+    g, n = F.floor(h / 10), F.size(words)
+    a = (g % n).cast("int")
+    block = F.floor((n - a) / (3 + g % 8)).cast("int") + 1
+    times = F.ceil((n - a) / block).cast("int")
+    tail = F.slice(F.flatten(F.array_repeat(F.slice(words, a + 1, block), times)), F.lit(1), n - a)
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), tail), " ")
+    return F.when((h % 10 == 0) & text.rlike(f"[^{SPACE_CLASS}]"), planted).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    planted = docs.select("doc_id", planted_repeats(F.col("doc_id"), F.col("text")).alias("text"))
+    found = periodic_runs.find_runs(planted)
+    # Longest first, then the smallest start and period.
+    order = F.transform(
+        "runs", lambda r: F.struct(-r["length"], r["start"], r["period"], r["length"].alias("n"))
+    )
+    best = F.array_min(order)
+    lines = F.transform(
+        "runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    )
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["n"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(best["n"] * 1000 / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 OP2_SQL = r"""
 WITH d AS (
   SELECT doc_id, source,
@@ -196,6 +247,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_content": op8_html_content,
         "op9_decontamination": op9_decontamination,
         "op10_packing": op10_packing,
+        "op12_best_fit_packing": op12_best_fit_packing,
+        "op13_periodic_runs": op13_periodic_runs,
     }
 
 

@@ -26,6 +26,11 @@ PIECE_CHARS = 1 << 16
 # A blank between two characters that are no white space: the blank starts the next token, and no
 # pattern of a byte-level vocabulary looks across it.
 _SAFE = re.compile(r"(?<=[^\s]) (?=[^\s])")
+#: Runs of white space of this length are cut out: the pattern's lookahead would exhaust its stack on them.
+WHITE_RUN = 1 << 12
+_WHITE = re.compile(
+    r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % WHITE_RUN
+)
 
 
 def split_safely(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
@@ -43,6 +48,25 @@ def split_safely(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
+def white_runs(text: str, specials: tuple[str, ...]) -> Iterator[tuple[str, bool]]:
+    """``text`` in order as ``(part, whether it is a long run of white space)``.
+
+    The pre-tokenizer takes such a run as one unit, but leaves its last character to what follows;
+    before a special token or the end of the text nothing follows.
+    """
+    start = 0
+    for run in _WHITE.finditer(text):
+        end = run.end()
+        if end < len(text) and not text.startswith(specials, end):
+            end -= 1
+        if start < run.start():
+            yield text[start : run.start()], False
+        yield text[run.start() : end], True
+        start = end
+    if start < len(text):
+        yield text[start:], False
+
+
 class Encoder:
     """``lengths`` and ``ids`` of texts, by the library that the file's kind belongs to.
 
@@ -68,9 +92,8 @@ class Encoder:
                 self._model = tiktoken.Encoding(
                     "ranks", pat_str=pattern, mergeable_ranks=_ranks(ranks), special_tokens=special
                 )
-                self._encode = lambda texts: [
-                    self._model.encode(t, allowed_special="all") for t in texts
-                ]
+                self._specials = tuple(special)
+                self._encode = lambda texts: [self._ranked(t) for t in texts]
                 self.splits, self.size = True, self._model.max_token_value + 1
             else:
                 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -84,6 +107,17 @@ class Encoder:
                 ]
                 self.splits, self.size = False, self._model.get_vocab_size()
 
+    def _ranked(self, text: str) -> list[int]:
+        if len(text) < WHITE_RUN:
+            return self._model.encode(text, allowed_special="all")
+        ids = []
+        for part, white in white_runs(text, self._specials):
+            if white:
+                ids += self._model._encode_single_piece(part.encode())
+            else:
+                ids += self._model.encode(part, allowed_special="all")
+        return ids
+
     def encoded(self, texts: list[str]) -> Iterator[tuple[int, list[int]]]:
         """``(index of the text, ids)`` for each piece of each text, encoded batch by batch."""
         if self.splits:
@@ -191,7 +225,8 @@ def token_count(text: Column, path: str) -> Column:
 def count_tokens(docs: DataFrame, path: str, limit: int = 512, text: str = "text") -> DataFrame:
     """``docs`` with ``n_bytes``, ``n_tokens`` and ``over_limit`` (more than ``limit`` tokens).
 
-    One row per input row, repeated rows included. NULL and empty texts have 0 bytes and 0 tokens.
+    One row per input row, repeated rows included. NULL and empty texts have 0 bytes and 0 tokens. Texts
+    of any length are counted whole, also where they have long runs without a blank or of blanks alone.
     Columns of these names in ``docs`` are replaced. An empty table gives an empty result.
     """
     body = F.col(text)

@@ -71,3 +71,25 @@ def test_sentencepiece_file(odd_documents):
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     for row in count_tokens(odd_documents.where("doc_id < 7"), path).collect():
         assert row["n_tokens"] == len(model.encode(row["text"] or ""))
+
+
+@pytest.mark.parametrize(
+    "run", [" ", "\n", "\t", " \n", "　\t ", "\r\n  "], ids=["blank", "break", "tab", "two", "wide", "mixed"]
+)
+@pytest.mark.parametrize("after", ["", "word", "<|endoftext|>", " x", "\nx", "7", "!"])
+def test_white_space_of_any_length(vocabulary, library, run, after):
+    for n in (4_000, 5_000):
+        body = "start" + run * n + after + " end" + run * n + after
+        expected = library.encode(body, add_special_tokens=False).ids
+        assert encoder(vocabulary).ids([body])[0] == expected
+
+
+@pytest.mark.parametrize("body", [" " * 3_000_000, "\n" * 1_000_000 + "x", "a" + " \n" * 750_000 + "b", "\t" * 1_500_000])
+def test_millions_of_white_space(vocabulary, library, body):
+    expected = library.encode(body, add_special_tokens=False).ids
+    assert encoder(vocabulary).ids([body])[0] == expected
+
+
+@pytest.mark.parametrize("body", ["a" * 2_000_000, "é" * 600_000, "!" * 1_000_000, "7" * 1_000_000])
+def test_millions_of_characters_without_a_blank(vocabulary, library, body):
+    assert encoder(vocabulary).lengths([body]) == [len(library.encode(body, add_special_tokens=False).ids)]
