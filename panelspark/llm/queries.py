@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelspark.llm import (
     decontaminate,
+    divergence,
     html_content,
     language_id,
     matched_packing,
@@ -120,6 +121,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, vocabulary("byte_bpe_50k.json"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
 def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     placed = matched_packing.place(docs, vocabulary("byte_bpe_50k.json"))
@@ -230,6 +235,57 @@ FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, vec_id) A
 WHERE rank <= 10
 """
 
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), w AS (
+  SELECT r, lang, source,
+         unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM d
+), per_doc AS (
+  SELECT r, lang, source, term, count(*) AS n FROM w GROUP BY ALL
+), counted AS (
+  SELECT lang, source, term, sum(n)::HUGEINT AS n, count(*) AS docs FROM per_doc GROUP BY ALL
+), kept AS (
+  SELECT lang, term, sum(n)::HUGEINT AS whole FROM counted GROUP BY ALL HAVING sum(docs) >= 3
+), langs AS (
+  SELECT lang, count(*)::HUGEINT AS v, sum(whole)::HUGEINT AS total FROM kept GROUP BY lang
+), held AS (
+  SELECT lang, source, term, n, whole FROM counted JOIN kept USING (lang, term)
+), grp AS (
+  SELECT DISTINCT lang, source FROM d
+), totals AS (
+  SELECT lang, source, coalesce(sum(n), 0)::HUGEINT AS n FROM grp LEFT JOIN held USING (lang, source)
+  GROUP BY ALL
+), full_p AS (
+  SELECT t.lang, t.source, k.term,
+         1 + 1000000000 * (coalesce(h.n, 0) + 1) // (t.n + l.v) AS p
+  FROM totals t JOIN langs l USING (lang) JOIN kept k USING (lang)
+  LEFT JOIN held h ON h.lang = t.lang AND h.source = t.source AND h.term = k.term
+), pair_sum AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p)::BIGINT AS value
+  FROM full_p a JOIN full_p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+  GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+  FROM grp a JOIN grp b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair_sum s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), own AS (
+  SELECT h.lang, h.source, h.term,
+         1 + 1000000000 * (h.n + 1) // (t.n + l.v) AS p, 1 + 1000000000 * (h.whole + 1) // (l.total + l.v) AS q
+  FROM held h JOIN totals t USING (lang, source) JOIN langs l USING (lang)
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+  FROM own WHERE p > q
+)
+SELECT lang, source, part, item, value, rank::INTEGER AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+) WHERE part = 'pair' OR rank <= 200
+"""
+
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The registered queries by name."""
@@ -247,6 +303,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_content": op8_html_content,
         "op9_decontamination": op9_decontamination,
         "op10_packing": op10_packing,
+        "op11_divergence": op11_divergence,
         "op12_best_fit_packing": op12_best_fit_packing,
         "op13_periodic_runs": op13_periodic_runs,
     }
@@ -254,4 +311,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def llm_oracles() -> dict[str, str]:
     """SQL of the queries that SQL can express."""
-    return {"op2_mixing": OP2_SQL, "op7_top_k": OP7_SQL}
+    return {"op2_mixing": OP2_SQL, "op7_top_k": OP7_SQL, "op11_divergence": OP11_SQL}
