@@ -55,7 +55,8 @@ def fill_months(
     if spine == "series":
         lower, upper = own, own
     elif spine == "all":
-        lower, upper = df.select(F.min(month)).scalar(), df.select(F.max(month)).scalar()
+        ends = df.select(F.struct(F.min(month).alias("first"), F.max(month).alias("last"))).scalar()
+        lower, upper = ends["first"], ends["last"]
     elif isinstance(spine, str):
         raise ValueError(f"unknown spine {spine!r}")
     else:

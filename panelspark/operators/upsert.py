@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+
 def last_write_wins(
     batch: DataFrame, pk: Sequence[str], measures: Sequence[str], seq: Column | str
 ) -> DataFrame:
@@ -39,3 +40,29 @@ def upsert(
     )
     kept = target.join(latest.select(*pk), list(pk), "left_anti")
     return kept.select(*pk, *measures).unionByName(latest)
+
+
+def merge_by_arrival(
+    target: DataFrame,
+    batch: DataFrame,
+    pk: Sequence[str],
+    measures: Sequence[str],
+    seq: Column | str,
+    arrived: str = "arrived",
+) -> DataFrame:
+    """The target after a batch, each key with the measures that arrived last, in whichever of the two.
+
+    Both sides have ``arrived``, the time at which a row's source arrived, and so has the result; a NULL is
+    the earliest time.  Rows that arrived at the same time go to the batch, and within it to the last in
+    ``seq`` order.  One aggregate over both sides, reduced before the shuffle: batches merged in any
+    order give the same rows, and a batch merged again changes nothing.
+    """
+    order = F.col(seq) if isinstance(seq, str) else seq
+    new = batch.select(*pk, *measures, arrived, order.alias("_seq"), F.lit(1).alias("_side"))
+    kind = new.schema["_seq"].dataType
+    old = target.select(
+        *pk, *measures, arrived, F.lit(None).cast(kind).alias("_seq"), F.lit(0).alias("_side")
+    )
+    latest = F.max_by(F.struct(*measures, arrived), F.struct(arrived, "_side", "_seq"))
+    merged = old.unionByName(new).groupBy(*pk).agg(latest.alias("_last"))
+    return merged.select(*pk, "_last.*")

@@ -1,6 +1,8 @@
 """The four loads: landed documents and sheets into the stored tables.
 
-Each returns the number of rows of its batch.  Running a load again changes nothing.
+Each returns the number of rows of its batch.  Running a load again changes nothing, and loads of several
+landing folders give the same table in any order: for a key, the file that arrived last counts.  Monthly
+means of weekly sheets carry no arrival of their own; of two loads of those, the later call counts.
 """
 
 from __future__ import annotations
@@ -115,16 +117,18 @@ def diesel_rows(
 
 def load_food_index(spark: SparkSession, landing: str, root: str, **options) -> int:
     rows = food_index_rows(read_documents(spark, landing), **options)
-    return upsert_table(spark, root, FOOD_INDEX, rows, "seq")
+    return upsert_table(spark, root, FOOD_INDEX, rows, "seq", arrived="seq.arrived")
 
 
 def load_income(spark: SparkSession, landing: str, root: str, **options) -> int:
     rows = income_rows(read_documents(spark, landing), **options)
-    return upsert_table(spark, root, INCOME, rows, "seq")
+    return upsert_table(spark, root, INCOME, rows, "seq", arrived="seq.arrived")
 
 
 def load_food_share(spark: SparkSession, grid: DataFrame, root: str, **options) -> int:
-    return upsert_table(spark, root, FOOD_SHARE, food_share_rows(grid, **options), "seq")
+    rows = food_share_rows(grid, **options)
+    arrived = "seq.arrived" if "arrived" in grid.columns else None
+    return upsert_table(spark, root, FOOD_SHARE, rows, "seq", arrived=arrived)
 
 
 def load_diesel(spark: SparkSession, grid: DataFrame, root: str, **options) -> int:

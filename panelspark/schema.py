@@ -173,6 +173,31 @@ def rule_report(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.agg(*rule_counts(spec).values())
 
 
+def broken_rule_names(spec: TableSpec) -> Column:
+    """The names of the rules that a row breaks, in the order of :func:`broken_rules`."""
+    rules = broken_rules(spec)
+    named = F.array(*[F.when(F.coalesce(bad, F.lit(False)), F.lit(rule)) for rule, bad in rules.items()])
+    return F.array_compact(named)
+
+
+def tag_rows(df: DataFrame, spec: TableSpec, order: Column | str) -> DataFrame:
+    """``df`` with ``broken``, the rules that each row breaks; ``superseded`` is one of them.
+
+    A row is superseded if a row with the same key comes later in ``order`` and breaks no other rule.  The last
+    row of each key comes from an aggregate that combines before the shuffle and is joined back, so that
+    a key may hold most of the rows.  Rows of a key that tie for the last are all kept.
+    """
+    place = F.col(order) if isinstance(order, str) else order
+    tagged = df.withColumns({"_rules": broken_rule_names(spec), "_place": place})
+    sound = tagged.where(F.size("_rules") == 0)
+    last = sound.groupBy(*spec.key).agg(F.max("_place").alias("_last"))
+    late = F.array_append("_rules", F.lit("superseded"))
+    is_late = (F.size("_rules") == 0) & (F.col("_place") < F.col("_last"))
+    joined = tagged.join(last, spec.key, "left")
+    broken = F.when(F.coalesce(is_late, F.lit(False)), late).otherwise(F.col("_rules"))
+    return joined.select(*df.columns, broken.alias("broken"))
+
+
 def key_breaches(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Primary-key values that occur more than once, with their count."""
     counted = df.groupBy(*spec.key).agg(F.count(F.lit(1)).alias("row_count"))

@@ -2,10 +2,12 @@
 
 A document has ``id`` (dimension names), ``size`` (their lengths), ``dimension`` (per name
 the categories with their positions and labels) and ``value``: either an object
-``{offset: number}`` that leaves out empty cells, or a list with nulls.  One document is one
-row; decoding is a projection that ends in ``inline``, so there is no shuffle, and documents
-spread over the tasks.  Offsets are taken apart arithmetically from the strides of the
-document itself, so any number and order of dimensions is accepted.
+``{offset: number}`` that leaves out empty cells, or a list with nulls.  The positions of a category
+are an object ``{code: position}`` or a list of codes; a dimension with one category may leave them out.
+One document is one row.  It is parsed once, into a VARIANT; the axes are read from it per document, and
+``variant_explode`` turns either shape of ``value`` into one row per cell inside generated code, so
+no array of cells is built and there is no shuffle.  Offsets are taken apart arithmetically from
+the strides of the document itself, so any number and order of dimensions is accepted.
 """
 
 from __future__ import annotations
@@ -16,14 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelspark.functions.numeric import lenient_double
 
-_CATEGORY = "STRUCT<index: MAP<STRING, INT>, label: MAP<STRING, STRING>>"
-_DOCUMENT = (
-    "label STRING, id ARRAY<STRING>, size ARRAY<INT>, "
-    f"dimension MAP<STRING, STRUCT<label: STRING, category: {_CATEGORY}>>, "
-    "value MAP<STRING, STRING>"
-)
-_LISTED = "value ARRAY<STRING>"
-
 
 def read_documents(spark: SparkSession, path: str, *, per_line: bool = False) -> DataFrame:
     """Landed documents as ``(document, arrived, body)``: one per file, or one per line.
@@ -37,65 +31,96 @@ def read_documents(spark: SparkSession, path: str, *, per_line: bool = False) ->
     )
 
 
-def parse_documents(raw: DataFrame, body: str = "body") -> DataFrame:
-    """Adds the parsed document as ``doc`` and its cells as ``cells`` (offset, value, text).
+def parse_documents(raw: DataFrame, keep: Sequence[str] = (), body: str = "body") -> DataFrame:
+    """One row per document: ``keep``, ``size``, ``id``, ``dimension`` (a VARIANT per name) and ``value``.
 
-    Malformed text raises, and so does a document without ``value``.  A cell that is no number, such
-    as a mark of its status, has a NULL value and is like an empty one; ``cell_marks`` counts them.  The
-    second parse, for ``value`` as a list, is only evaluated for documents where the first finds no object.
+    Malformed text raises, and so does a document without an object or a list of values.
     """
-    parsed = raw.withColumn("doc", F.from_json(body, _DOCUMENT))
-    start = F.left(body, F.lit(80))
-    malformed = F.raise_error(F.concat(F.lit("not a cube document: "), start))
-    parsed = parsed.withColumn("doc", F.when(F.col("doc.id").isNull(), malformed).otherwise(F.col("doc")))
-    listed = F.from_json(body, _LISTED)["value"]
-
-    def cell(offset: Column, text: Column) -> Column:
-        return F.struct(
-            offset.cast("bigint").alias("offset"), lenient_double(text).alias("value"), text.alias("text")
-        )
-
-    from_list = F.transform(listed, lambda v, i: cell(i, v))
-    from_object = F.transform(F.map_entries("doc.value"), lambda e: cell(e["key"], e["value"]))
-    empty = F.raise_error(F.concat(F.lit("cube document without values: "), start))
-    cells = F.when(F.col("doc.value").isNotNull(), from_object).otherwise(
-        F.when(listed.isNotNull(), from_list).otherwise(empty)
+    kept = F.struct(*keep, F.lit(0))
+    parsed = _once(raw, kept=kept, start=F.left(body, F.lit(80)), doc=F.try_parse_json(body))
+    names = F.try_variant_get("doc", "$.id", "array<string>")
+    value = F.variant_get("doc", "$.value", "variant")
+    shaped = _is_object(value) | F.try_variant_get(value, "$", "array<variant>").isNotNull()
+    malformed = F.raise_error(F.concat(F.lit("not a cube document: "), "start"))
+    empty = F.raise_error(F.concat(F.lit("cube document without values: "), "start"))
+    return _once(
+        parsed,
+        kept=F.col("kept"),
+        id=F.when(names.isNull(), malformed).otherwise(names),
+        size=F.try_variant_get("doc", "$.size", "array<int>"),
+        dimension=F.try_variant_get("doc", "$.dimension", "map<string, variant>"),
+        value=F.when(F.coalesce(shaped, F.lit(False)), value).otherwise(empty),
     )
-    return _once(parsed.withColumn("cells", cells), ["doc", "cells"])
 
 
-def _once(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``df`` with the columns evaluated once for a row, however often they are used.
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """The columns, evaluated once for a row of ``df``, however often they are used.
+
+    Projections are merged and would evaluate them at every use, and the optimizer would carry every
+    one of them as a constraint; an explode of one element stops both.
+    """
+    fields = [x for name, column in columns.items() for x in (F.lit(name), column)]
+    return df.select(F.explode(F.array(F.named_struct(*fields))).alias("_once")).select("_once.*")
+
+
+def _is_object(value: Column) -> Column:
+    return F.try_variant_get(value, "$", "map<string, variant>").isNotNull()
+
+
+def _cell_rows(docs: DataFrame, value: str, document: Sequence[str]) -> DataFrame:
+    """One row per cell of ``value``: ``_document`` (a struct), its ``offset`` and ``cell``.
 
-    Projections are merged and would evaluate them at every use; an explode of one element is not.
+    The document's columns are evaluated once for each document, below the generator.
     """
-    kept = [c for c in df.columns if c not in columns]
-    one = F.explode(F.array(F.struct(*columns))).alias("_once")
-    return df.select(*kept, one).select(*kept, "_once.*")
+    exploded = docs.select(F.struct(*document).alias("_document"), F.col(value).alias("_cells")).lateralJoin(
+        docs.sparkSession.tvf.variant_explode(F.col("_cells").outer())
+    )
+    return exploded.select(
+        "_document",
+        F.coalesce(F.col("key").cast("bigint"), F.col("pos").cast("bigint")).alias("offset"),
+        F.col("value").alias("cell"),
+    )
+
+
+def _number(cell: Column) -> Column:
+    """The number of a cell; a mark in its place is NULL, like an empty cell."""
+    kind = F.schema_of_variant(cell)
+    text = lenient_double(F.try_variant_get(cell, "$", "string"))
+    number = F.try_variant_get(cell, "$", "double")
+    return F.when(kind == "STRING", text).when(kind != "BOOLEAN", number)
 
 
 def cell_marks(raw: DataFrame, keep: Sequence[str] = (), body: str = "body") -> DataFrame:
     """Texts that stand where numbers belong, with their number of cells, per ``keep`` columns."""
-    marks = F.filter("cells", lambda c: c["value"].isNull() & c["text"].isNotNull())
-    found = parse_documents(raw, body).select(*keep, F.explode(marks).alias("c"))
-    return found.groupBy(*keep, F.col("c.text").alias("mark")).agg(F.count(F.lit(1)).alias("cells"))
+    cells = _cell_rows(parse_documents(raw, keep, body), "value", ["kept"])
+    mark = F.try_variant_get("cell", "$", "string")
+    marks = cells.where(_number(F.col("cell")).isNull() & mark.isNotNull())
+    return marks.groupBy(*[F.col(f"_document.kept.`{c}`") for c in keep], mark.alias("mark")).agg(
+        F.count(F.lit(1)).alias("cells")
+    )
 
 
 def _volume(sizes: Column) -> Column:
     return F.aggregate(sizes, F.lit(1).cast("bigint"), lambda a, n: a * n)
 
 
-def _axis(dim: str, labelled: bool) -> Column:
-    """Categories of a dimension as (position, code[, label]), in order of position."""
-    category = F.col("doc.dimension")[dim]["category"]
+def _codes(described: Column) -> Column:
+    """Codes of a dimension by position: the positions must be 0..n-1, else NULL."""
+    index = F.try_variant_get(described, "$.category.index", "map<string, int>")
+    placed = F.sort_array(
+        F.transform(F.map_entries(index), lambda e: F.struct(e["value"].alias("at"), e["key"].alias("code")))
+    )
+    numbered = F.transform(placed, lambda e, i: F.when(e["at"] == i, e["code"]))
+    listed = F.try_variant_get(described, "$.category.index", "array<string>")
+    named = F.map_keys(F.try_variant_get(described, "$.category.label", "map<string, string>"))
+    alone = F.when(F.variant_get(described, "$.category.index", "variant").isNull() & (F.size(named) == 1), named)
+    codes = F.coalesce(numbered, listed, alone)
+    return F.when(~F.exists(codes, lambda c: c.isNull()), codes)
 
-    def entry(e: Column) -> Column:
-        fields = [e["value"].alias("position"), e["key"].alias("code")]
-        if labelled:  # a lookup in a map takes time in proportion to its size
-            fields.append(F.try_element_at(category["label"], e["key"]).alias("label"))
-        return F.struct(*fields)
 
-    return F.sort_array(F.transform(F.map_entries(category["index"]), entry))
+def _labels(described: Column, codes: Column) -> Column:
+    labels = F.try_variant_get(described, "$.category.label", "map<string, string>")
+    return F.transform(codes, lambda code: F.try_element_at(labels, code))
 
 
 def decode_cube(
@@ -106,130 +131,175 @@ def decode_cube(
     on_missing: str = "drop",
     labels: Mapping[str, str] | None = None,
     where: Mapping[str, Sequence[str]] | None = None,
+    last: Mapping[str, int] | None = None,
     keep: Sequence[str] = (),
     body: str = "body",
 ) -> DataFrame:
     """Cells as long rows: ``keep`` columns, ``offset``, one code column per dimension, value.
 
-    ``where`` keeps the listed codes only: other cells are left out before rows are built.
-    ``on_missing`` says what an empty cell among the wanted ones is: no row (``drop``), a NULL
-    (``keep``) or an error (``error``).  ``labels`` maps dimensions to columns for their labels.  A
-    dimension of the document that is not in ``dims`` must have one category; a listed one that is
-    absent or not numbered 0..n-1 raises, and so does a cell outside the cube.
+    ``where`` keeps the listed codes only, ``last`` the last n positions of a dimension (the latest periods of
+    each document, whether or not a series has a value there): other cells are left out before
+    their codes are looked up.  ``on_missing`` says what an empty cell among the wanted ones is: no row
+    (``drop``), a NULL (``keep``) or an error (``error``).  ``labels`` maps dimensions to columns for their
+    labels.  A dimension of the document that is not in ``dims`` must have one category; a listed one
+    that is absent or not numbered 0..n-1 raises, and so does a cell outside the cube.
     """
     if on_missing not in ("drop", "keep", "error"):
         raise ValueError(f"unknown on_missing {on_missing!r}")
-    labels = dict(labels or {})
-    docs = parse_documents(raw, body)
+    labels, where, last = dict(labels or {}), dict(where or {}), dict(last or {})
 
-    size = F.col("doc.size")
-    columns = {"_volume": _volume(size)}
+    # Per document: the axes, their strides, and the wanted positions of the restricted ones.
+    docs = parse_documents(raw, keep, body)
+    axes, size = {}, F.col("size")
     for dim in dims:
-        place = F.array_position("doc.id", F.lit(dim)).cast("int")
-        columns[f"_axis_{dim}"] = _axis(dim, dim in labels)
-        columns[f"_size_{dim}"] = F.try_element_at(size, F.nullif(place, F.lit(0)))
-        columns[f"_stride_{dim}"] = _volume(F.slice(size, place + 1, F.size(size)))
-    docs = docs.withColumns(columns)
-
-    covered = F.lit(1).cast("bigint")
-    sound = F.lit(True)
+        place = F.array_position("id", F.lit(dim)).cast("int")
+        axes[f"codes_{dim}"] = _codes(F.try_element_at("dimension", F.lit(dim)))
+        axes[f"size_{dim}"] = F.try_element_at(size, F.nullif(place, F.lit(0)))
+        axes[f"stride_{dim}"] = _volume(F.slice(size, place + 1, F.size(size)))
+    docs = _once(docs, **{c: F.col(c) for c in docs.columns}, volume=_volume(size), **axes)
+
+    def positions(dim: str) -> Column:
+        length = F.col(f"size_{dim}")
+        every = F.sequence(F.lit(0), length - 1)
+        if dim in where:
+            codes = list(where[dim])
+            every = F.filter(every, lambda p: F.get(F.col(f"codes_{dim}"), p).isin(codes))
+        if dim in last:
+            every = F.filter(every, lambda p: p >= length - last[dim])
+        return F.when(length > 0, every).otherwise(F.array().cast("array<int>"))
+
+    wanted = {dim: positions(dim) for dim in dims if dim in where or dim in last}
+
+    covered, sound = F.lit(1).cast("bigint"), F.lit(True)
     for dim in dims:
-        axis, length = F.col(f"_axis_{dim}"), F.col(f"_size_{dim}")
+        length = F.col(f"size_{dim}")
         covered = covered * F.coalesce(length, F.lit(0))
-        numbered = F.forall(
-            F.transform(axis, lambda c, i: c["position"] == i), lambda ok: ok
-        )
-        sound = sound & F.coalesce((F.size(axis) == length) & numbered, F.lit(False))
+        sound = sound & F.coalesce(F.size(f"codes_{dim}") == length, F.lit(False))
+    sound = sound & (covered == F.col("volume"))
     unsound = F.raise_error(F.lit(f"cube dimensions do not fit {list(dims)}"))
-    sound = sound & (covered == F.col("_volume"))
+    cells = F.when(sound, F.col("value")).otherwise(unsound)
+
+    named = {}
+    for dim, kept in wanted.items():
+        named[f"wanted_{dim}"] = kept
+    for dim in labels:
+        described = F.try_element_at("dimension", F.lit(dim))
+        named[f"labels_{dim}"] = _labels(described, F.col(f"codes_{dim}"))
+    document = ["kept", "volume", *axes, *named]
+    docs = _once(docs, **{c: F.col(c) for c in ("kept", "volume", *axes)}, **named, _cells=cells)
+
+    if on_missing == "drop":
+        rows = _cell_rows(docs, "_cells", document)
+    else:
+        rows = _wanted_rows(docs, document, dims, wanted, on_missing == "error")
+
+    inside = lambda name: F.col(f"_document.`{name}`")
+
+    def position(dim: str) -> Column:
+        at = F.pmod(F.floor(F.col("offset") / inside(f"stride_{dim}")), inside(f"size_{dim}"))
+        return at.cast("int")
 
-    # The wanted positions of each axis; cells elsewhere are left out before a row is built.
-    def positions_of(dim: str, codes: Sequence[str]) -> Column:
-        listed = F.filter(f"_axis_{dim}", lambda c: c["code"].isin(*codes))
-        return F.transform(listed, lambda c: c["position"])
+    rows = rows.where(F.col("offset").isNotNull())
+    if on_missing == "drop":
+        outside = (F.col("offset") >= inside("volume")) | (F.col("offset") < 0)
+        refused = F.raise_error(F.lit("cube has cells outside its dimensions"))
+        chosen = F.lit(True)
+        for dim in wanted:
+            chosen = chosen & F.array_contains(inside(f"wanted_{dim}"), position(dim))
+        rows = rows.where(F.when(outside, refused).otherwise(chosen))
+        rows = rows.withColumn("number", _number(F.col("cell"))).where(F.col("number").isNotNull())
+    else:
+        rows = rows.withColumn("number", _number(F.col("cell")))
 
-    wanted = {dim: positions_of(dim, codes) for dim, codes in (where or {}).items()}
-    docs = docs.withColumns({f"_wanted_{dim}": positions for dim, positions in wanted.items()})
-    docs = _once(docs, [*columns, *(f"_wanted_{dim}" for dim in wanted)])
+    columns = [F.col(f"_document.kept.`{c}`").alias(c) for c in keep] + [F.col("offset")]
+    for dim in dims:
+        columns.append(F.get(inside(f"codes_{dim}"), position(dim)).alias(dim))
+        if dim in labels:
+            columns.append(F.get(inside(f"labels_{dim}"), position(dim)).alias(labels[dim]))
+    return rows.select(*columns, F.col("number").alias(value))
 
-    def position(offset: Column, dim: str) -> Column:
-        at = F.pmod(F.floor(offset / F.col(f"_stride_{dim}")), F.col(f"_size_{dim}"))
-        return at.cast("int")
 
-    def row(offset: Column, cell: Column) -> Column:
-        fields = [offset.alias("offset")]
-        for dim in dims:
-            category = F.get(F.col(f"_axis_{dim}"), position(offset, dim))
-            fields.append(category["code"].alias(dim))
-            if dim in labels:
-                fields.append(category["label"].alias(labels[dim]))
-        return F.struct(*fields, cell.alias(value))
-
-    def chosen(cell: Column) -> Column:
-        kept = cell["value"].isNotNull()
-        for dim in wanted:
-            kept = kept & F.array_contains(f"_wanted_{dim}", position(cell["offset"], dim))
-        outside = (cell["offset"] >= F.col("_volume")) | (cell["offset"] < 0)
-        return F.when(outside, F.raise_error(F.lit("cube has cells outside its dimensions"))).otherwise(kept)
-
-    present = F.filter("cells", chosen)
-    rows = F.transform(present, lambda c: row(c["offset"], c["value"]))
-    if on_missing != "drop":
-        # Every wanted offset, from the wanted positions of one axis after the other.
-        def spread(offsets: Column, dim: str) -> Column:
-            axis = F.col(f"_wanted_{dim}") if dim in wanted else F.col(f"_axis_{dim}")["position"]
-            steps = F.transform(axis, lambda p: p * F.col(f"_stride_{dim}"))
-            return F.flatten(F.transform(offsets, lambda o: F.transform(steps, lambda s: o + s)))
-
-        every = F.array(F.lit(0).cast("bigint"))
-        for dim in dims:
-            every = spread(every, dim)
-        empty = F.array_except(every, F.transform(present, lambda c: c["offset"]))
-        if on_missing == "keep":
-            blank = F.lit(None).cast("double")
-            rows = F.concat(rows, F.transform(empty, lambda p: row(p, blank)))
-        else:
-            complete = F.size(empty) == 0
-            rows = F.when(complete, rows).otherwise(
-                F.raise_error(F.concat(F.lit("empty cells: "), F.size(empty).cast("string")))
-            )
-    rows = F.when(sound, rows).otherwise(unsound)
-    return docs.select(*keep, F.inline(rows))
+def _wanted_rows(
+    docs: DataFrame, document: Sequence[str], dims: Sequence[str], wanted: Sequence[str], complete: bool
+) -> DataFrame:
+    """One row per wanted offset, whether or not the document has a cell there.
 
+    The offsets follow from the wanted positions; each looks its cell up in the VARIANT, by a binary
+    search over the keys of an object or by place in a list.  ``complete`` raises if a cell is empty.
+    """
 
-def cube_metadata(raw: DataFrame, keep: Sequence[str] = (), body: str = "body") -> DataFrame:
-    """One row per dimension and category: names, labels, order, size and positions."""
-    doc = F.from_json(body, _DOCUMENT)
-    dims = (
-        raw.select(*keep, doc.alias("doc"))
-        .select(*keep, "doc", F.posexplode("doc.id").alias("dim_position", "dim"))
-        .select(
-            *keep,
-            F.col("doc.label").alias("dataset_label"),
-            "dim",
-            "dim_position",
-            F.get(F.col("doc.size"), F.col("dim_position")).alias("dim_size"),
-            F.col("doc.dimension")[F.col("dim")].alias("described"),
+    def spread(offsets: Column, dim: str) -> Column:
+        every = F.sequence(F.lit(0), F.col(f"size_{dim}") - 1)
+        places = F.col(f"wanted_{dim}") if dim in wanted else every
+        steps = F.transform(places, lambda p: p * F.col(f"stride_{dim}"))
+        return F.flatten(F.transform(offsets, lambda o: F.transform(steps, lambda s: o + s)))
+
+    every = F.array(F.lit(0).cast("bigint"))
+    for dim in dims:
+        every = spread(every, dim)
+    keyed = F.map_keys(F.try_variant_get("_cells", "$", "map<string, variant>"))
+    beyond = F.when(
+        keyed.isNotNull(),
+        F.exists(keyed, lambda k: (k.cast("bigint") >= F.col("volume")) | (k.cast("bigint") < 0)),
+    ).otherwise(F.size(F.try_variant_get("_cells", "$", "array<variant>")) > F.col("volume"))
+    refused = F.raise_error(F.lit("cube has cells outside its dimensions"))
+    offsets = F.when(beyond, refused).when(F.col("_cells").isNotNull(), every)
+    prepared = _once(
+        docs,
+        **{c: F.col(c) for c in docs.columns},
+        _object=_is_object(F.col("_cells")),
+        _offsets=offsets,
+    )
+
+    def cell(offset: Column, cells: Column, is_object: Column) -> Column:
+        text = offset.cast("string")
+        path = F.when(is_object, F.concat(F.lit("$['"), text, F.lit("']"))).otherwise(
+            F.concat(F.lit("$["), text, F.lit("]"))
         )
+        return F.variant_get(cells, path, "variant")
+
+    if complete:
+        at = lambda o: cell(o, F.col("_cells"), F.col("_object"))
+        empty = F.size(F.filter("_offsets", lambda o: _number(at(o)).isNull()))
+        incomplete = F.raise_error(F.concat(F.lit("empty cells: "), empty.cast("string")))
+        checked = F.when(empty > 0, incomplete).otherwise(F.col("_offsets"))
+        prepared = prepared.withColumn("_offsets", checked)
+    rows = prepared.select(
+        F.struct(*document, "_cells", "_object").alias("_document"), F.explode("_offsets").alias("offset")
     )
-    categories = F.explode("described.category.index").alias("code", "position")
-    return dims.select(
-        *keep,
+    found = cell(F.col("offset"), F.col("_document._cells"), F.col("_document._object"))
+    return rows.withColumn("cell", found)
+
+
+def cube_metadata(raw: DataFrame, keep: Sequence[str] = (), body: str = "body") -> DataFrame:
+    """One row per dimension and category: names, labels, order, size and positions."""
+    parsed = raw.select(F.struct(*keep, F.lit(0)).alias("kept"), F.try_parse_json(body).alias("doc"))
+    dims = parsed.select(
+        "kept",
+        F.try_variant_get("doc", "$.label", "string").alias("dataset_label"),
+        F.try_variant_get("doc", "$.size", "array<int>").alias("sizes"),
+        F.try_variant_get("doc", "$.dimension", "map<string, variant>").alias("dimension"),
+        F.posexplode(F.try_variant_get("doc", "$.id", "array<string>")).alias("dim_position", "dim"),
+    ).withColumn("described", F.col("dimension")[F.col("dim")])
+    codes = _codes(F.col("described"))
+    columns = [
+        *[F.col(f"kept.`{c}`") for c in keep],
         "dataset_label",
         "dim",
-        F.col("described.label").alias("dim_label"),
+        F.try_variant_get("described", "$.label", "string").alias("dim_label"),
         "dim_position",
-        "dim_size",
-        categories,
-        F.col("described.category.label").alias("labels"),
-    ).select(
+        F.get(F.col("sizes"), F.col("dim_position")).alias("dim_size"),
+    ]
+    entry = F.arrays_zip(codes.alias("code"), _labels(F.col("described"), codes).alias("label"))
+    rows = dims.select(*columns, F.posexplode(entry).alias("position", "entry"))
+    return rows.select(
         *keep,
         "dataset_label",
         "dim",
         "dim_label",
         "dim_position",
         "dim_size",
-        "code",
-        F.try_element_at("labels", F.col("code")).alias("label"),
+        "entry.code",
+        "entry.label",
         "position",
     )

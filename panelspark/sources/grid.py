@@ -14,10 +14,15 @@ from panelspark.functions.calendar import MONTH_FIRST, lenient_date
 from panelspark.functions.numeric import lenient_double
 
 
-# A record runs to a line break outside quotes; a cell runs to a comma outside quotes.  Possessive
-# repeats never go back, so both are linear in the text.
-_RECORD = r'((?:[^"\r\n]++|"(?:[^"]++|"")*+"?)*+(?:\r?\n|\r|$))'
-_CELL = r',("(?:[^"]++|"")*+"?[^,]*+|[^,]*+)'
+# A quote opens a quotation only as the first character of a cell; elsewhere it is text (5" pipe).  A
+# cell runs to a comma or line break outside its quotation.  Possessive repeats and the atomic choice never
+# go back, so all are linear in the text and need no stack.
+_QUOTED = r'"(?:[^"]++|"")*+"?+'
+_IN_LINE = rf'(?>{_QUOTED}[^,\r\n]*+|[^,\r\n]*+)'
+_RECORD = rf'((?:{_IN_LINE},)*+{_IN_LINE})(?:\r?\n|\r|$)'
+_CELL = rf',({_QUOTED}[^,]*+|[^,]*+)'
+#: The quotation of a cell, and what follows its closing quote.
+_PARTS = r'(?s)^"((?:[^"]++|"")*+)"?(.*)$'
 #: Columns that say which sheet a row is from.
 IDENTITY = ("file", "arrived", "sheet")
 
@@ -27,28 +32,26 @@ def read_grid(spark: SparkSession, path: str, *, sheet: str | None = None) -> Da
 
     A row is ``(file, arrived, sheet, row_idx, cells)``: the path is the identity of a sheet, its
     name (the file's, or ``sheet``) a label, ``arrived`` the file's time.  A quoted cell may
-    hold line breaks, commas and doubled quotes; rows are as long as they are, and empty cells are
-    NULL.  The row number is taken inside the file and counts blank rows, so a sheet is one task and
+    hold line breaks, commas and doubled quotes, and a quote inside an unquoted cell is text; rows are as
+    long as they are, and empty cells are NULL.  A byte-order mark is left out.  The row number is taken inside the file and counts blank rows, so a sheet is one task and
     many sheets are many.
     """
     files = spark.read.text(path, wholetext=True)
     name = F.regexp_extract("_metadata.file_name", r"^(.*?)(\.[^.]*)?$", 1)
-    records = F.regexp_extract_all("value", F.lit(_RECORD), F.lit(1))
-    lines = (
-        files.select(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_modification_time").alias("arrived"),
-            (name if sheet is None else F.lit(sheet)).alias("sheet"),
-            F.posexplode(records).alias("row_idx", "line"),
-        )
-        .withColumn("line", F.regexp_replace("line", r"[\r\n]+$", ""))
-        .where(F.length("line") > 0)
-    )
+    # Some programs start a file with a byte-order mark.
+    records = F.regexp_extract_all(F.regexp_replace("value", "^\ufeff", ""), F.lit(_RECORD), F.lit(1))
+    lines = files.select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_modification_time").alias("arrived"),
+        (name if sheet is None else F.lit(sheet)).alias("sheet"),
+        F.posexplode(records).alias("row_idx", "line"),
+    ).where(F.length("line") > 0)
     cells = F.regexp_extract_all(F.concat(F.lit(","), "line"), F.lit(_CELL), F.lit(1))
 
     def plain(cell: Column) -> Column:
-        inner = F.regexp_replace(F.regexp_extract(cell, r'(?s)^"(.*?)"?$', 1), '""', '"')
-        text = F.when(cell.startswith('"'), inner).otherwise(cell)
+        inner = F.regexp_replace(F.regexp_extract(cell, _PARTS, 1), '""', '"')
+        quoted = F.concat(inner, F.regexp_extract(cell, _PARTS, 2))
+        text = F.when(cell.startswith('"'), quoted).otherwise(cell)
         return F.when(F.length(text) > 0, text)
 
     return lines.select(

@@ -7,6 +7,10 @@ small JSON list saying which load is current for each year.  A load rewrites onl
 its batch touches and becomes visible when the next list is complete; if the job dies before, at
 whatever step, readers still see the previous list and the load can be run again, since no name is
 used twice.  One writer per table; ``prune`` deletes what no list needs any more.
+
+Every stored row carries ``_arrived``, the time at which its source arrived, so loads in any order
+leave the same table: an older source that is loaded late does not replace a newer one.  Rows that break a
+rule reject their batch or go to ``<root>/<table>/rejected/load=<id>/``, as the caller asks.
 """
 
 from __future__ import annotations
@@ -14,10 +18,15 @@ from __future__ import annotations
 import re
 from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import StructField, StructType, TimestampType
+
+from panelspark.operators.upsert import merge_by_arrival
+from panelspark.schema import TableSpec, broken_rule_names, narrow, normalise_codes, rule_counts
 
-from panelspark.operators.upsert import upsert
-from panelspark.schema import TableSpec, narrow, normalise_codes, rule_counts
+#: Column of the stored files that readers do not see.
+ARRIVED = "_arrived"
 
 
 class LoadRejected(ValueError):
@@ -90,10 +99,12 @@ def prune(spark: SparkSession, root: str, spec: TableSpec, keep: int = 2) -> Non
 def _read_years(
     spark: SparkSession, base: str, spec: TableSpec, loads: dict[int, str]
 ) -> DataFrame:
+    """The rows of some years with their arrival; files of before it was kept have a NULL there."""
+    schema = StructType([*spec.schema.fields, StructField(ARRIVED, TimestampType())])
     if not loads:
-        return spark.createDataFrame([], spec.schema)
+        return spark.createDataFrame([], schema)
     paths = [f"{base}/data/load={load}/period_year={year}" for year, load in sorted(loads.items())]
-    return spark.read.schema(spec.schema).parquet(*paths)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def read_table(
@@ -104,49 +115,80 @@ def read_table(
     _, loads = _current(spark, base)
     if years:
         loads = {y: load for y, load in loads.items() if years[0] <= y <= years[1]}
-    return _read_years(spark, base, spec, loads)
+    return _read_years(spark, base, spec, loads).select(*spec.schema.names)
+
+
+def read_rejected(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """The rows that loads have set aside: the table's columns, ``broken`` (rules) and the ``load``."""
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in spec.schema)
+    schema = f"{columns}, broken ARRAY<STRING>, load STRING"
+    try:
+        return spark.read.schema(schema).parquet(f"{root}/{spec.name}/rejected")
+    except AnalysisException:  # no load has set rows aside
+        return spark.createDataFrame([], schema)
 
 
 def upsert_table(
-    spark: SparkSession, root: str, spec: TableSpec, batch: DataFrame, seq: Column | str
+    spark: SparkSession,
+    root: str,
+    spec: TableSpec,
+    batch: DataFrame,
+    seq: Column | str,
+    *,
+    arrived: Column | str | None = None,
+    on_breach: str = "reject",
 ) -> int:
     """Upserts a batch into a stored table and returns the number of batch rows.
 
-    ``seq`` orders rows of the batch that share a key.  Rows that break NOT NULL or a length
-    reject the whole batch.
+    ``arrived`` is the time at which a row's source arrived, by default the time of this call.  For a key, the
+    row that arrived last stays, whichever load brought it; ``seq`` orders rows of the batch that share key
+    and arrival.  Rows that break NOT NULL or a length reject the whole batch (``on_breach="reject"``)
+    or are set aside with the rules they break (``"quarantine"``, see :func:`read_rejected`).
     """
+    if on_breach not in ("reject", "quarantine"):
+        raise ValueError(f"unknown on_breach {on_breach!r}")
     base, load = f"{root}/{spec.name}", uuid4().hex
-    order = F.col(seq) if isinstance(seq, str) else seq
-    ready = normalise_codes(batch.withColumn("_seq", order), spec)
-    # The batch is evaluated once: documents are not decoded again for the merge.
+    column = lambda c: F.col(c) if isinstance(c, str) else c
+    time = F.current_timestamp() if arrived is None else column(arrived)
+    ready = normalise_codes(batch.withColumns({"_seq": column(seq), ARRIVED: time}), spec)
+    checked = narrow(ready, spec, "_seq", ARRIVED).withColumn("broken", broken_rule_names(spec))
+
+    # The batch is evaluated once: documents are not decoded again for the merge.  What the load must know
+    # of it is observed as it is written; the observation ends in the writing stage, so no row counts twice.
+    seen = Observation(f"load_{load}")
+    counted = checked.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.collect_set(F.when(F.size("broken") == 0, spec.period_year)).alias("years"),  # calendar years
+        *rule_counts(spec).values(),
+    )
     staged = f"{base}/staged/load={load}"
-    narrow(ready, spec, "_seq").write.parquet(staged)
+    flagged = counted.withColumn("accepted", F.size("broken") == 0)
+    flagged.write.partitionBy("accepted").parquet(staged)
     try:
-        return _merge(spark, base, spec, spark.read.parquet(staged), load)
+        facts = seen.get
+        breaches = {rule: facts[rule] for rule in rule_counts(spec) if facts[rule]}
+        if breaches and on_breach == "reject":
+            raise LoadRejected(f"{spec.name}: {breaches}")
+        if breaches:
+            system, rejected = _folder(spark, f"{base}/rejected/load={load}")
+            system.mkdirs(rejected.getParent())
+            system.rename(_folder(spark, f"{staged}/accepted=false")[1], rejected)
+        if facts["years"]:
+            accepted = spark.read.schema(checked.schema).parquet(f"{staged}/accepted=true")
+            _merge(spark, base, spec, accepted, set(facts["years"]), load)
+        return facts["rows"]
     finally:
         system, there = _folder(spark, staged)
         system.delete(there, True)
 
 
-def _merge(spark: SparkSession, base: str, spec: TableSpec, ready: DataFrame, load: str) -> int:
-    rules = rule_counts(spec)
-    # One pass over the batch: its size, the years it touches and the rows that break a rule.
-    by_year = (
-        ready.groupBy(spec.period_year.alias("period_year"))
-        .agg(F.count(F.lit(1)).alias("rows"), *rules.values())
-        .collect()  # one row per calendar year
-    )
-    breaches = {name: sum(row[name] for row in by_year) for name in rules}
-    breaches = {name: n for name, n in breaches.items() if n}
-    if breaches:
-        raise LoadRejected(f"{spec.name}: {breaches}")
-    if not by_year:
-        return 0
-
+def _merge(
+    spark: SparkSession, base: str, spec: TableSpec, ready: DataFrame, touched: set[int], load: str
+) -> None:
     number, loads = _current(spark, base)
-    touched = {row["period_year"] for row in by_year}
     before = _read_years(spark, base, spec, {y: l for y, l in loads.items() if y in touched})
-    merged = upsert(before, ready, spec.key, [spec.measure], "_seq")
+    merged = merge_by_arrival(before, ready, spec.key, [spec.measure], "_seq", ARRIVED)
 
     # Rebalance: files of even size per year, a year that holds most rows is split over tasks.
     (
@@ -162,4 +204,3 @@ def _merge(spark: SparkSession, base: str, spec: TableSpec, ready: DataFrame, lo
         .write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
         .json(f"{base}/current/n={number + 1}-{load}")
     )
-    return sum(row["rows"] for row in by_year)

@@ -3,8 +3,8 @@
 The same load as :mod:`panelspark.plans.loads`, run once per scheduled call: the stream
 remembers in its checkpoint which files it has seen, processes the new ones and stops.  The
 upsert is idempotent, so a micro-batch that is repeated after a failure changes nothing.
-Within a call the later file wins by its time, as in the batch load; between calls the file that
-is picked up later wins, so an older file that lands late replaces a newer one.
+The later file wins by its time, as in the batch load, within a call and between calls: stored rows
+keep their arrival, so an older file that lands late does not replace a newer one.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ def load_new_documents(
     )
 
     def load(batch: DataFrame, _: int) -> None:
-        upsert_table(batch.sparkSession, root, spec, to_rows(batch), "seq")
+        upsert_table(batch.sparkSession, root, spec, to_rows(batch), "seq", arrived="seq.arrived")
 
     # One progress folder per pair of landing folder and table.
     route = sha256(f"{landing}\n{root}".encode()).hexdigest()[:16]

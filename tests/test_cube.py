@@ -192,3 +192,29 @@ def test_only_the_wanted_cells_must_be_there(spark):
                 strict.collect()
         else:
             assert strict.count() == 2 * len(geos)
+
+
+def test_positions_as_a_list_or_left_out_for_one_category(spark):
+    listed = json.loads(json.dumps(SPARSE))
+    listed["dimension"]["geo"]["category"]["index"] = ["BG", "DE"]
+    del listed["dimension"]["freq"]["category"]["index"]
+    dims = ["freq", "geo", "time"]
+    for on_missing in ("drop", "keep"):
+        plain = decode_cube(frame(spark, SPARSE), dims, on_missing=on_missing, labels={"geo": "country"})
+        other = decode_cube(frame(spark, listed), dims, on_missing=on_missing, labels={"geo": "country"})
+        assert sorted(other.collect()) == sorted(plain.collect())
+    columns = ["dim", "code", "label", "position"]
+    plain, other = cube_metadata(frame(spark, SPARSE)), cube_metadata(frame(spark, listed))
+    assert sorted(other.select(columns).collect()) == sorted(plain.select(columns).collect())
+    del listed["dimension"]["time"]["category"]["index"]
+    with pytest.raises(PySparkException, match="do not fit"):
+        decode_cube(frame(spark, listed), dims).collect()
+
+
+def test_last_positions_of_an_axis(spark):
+    raw = frame(spark, SPARSE)
+    assert set(cells(decode_cube(raw, ["geo", "time"], last={"time": 1}), "geo", "time")) == {
+        ("BG", "2024-03"), ("DE", "2024-03")}
+    kept = decode_cube(raw, ["geo", "time"], last={"time": 2}, where={"geo": ["DE"]}, on_missing="keep")
+    assert cells(kept, "geo", "time") == {("DE", "2024-02"): None, ("DE", "2024-03"): 9.0}
+    assert decode_cube(raw, ["geo", "time"], last={"time": 9}).count() == 3

@@ -1,3 +1,5 @@
+import csv
+import random
 from datetime import date
 
 import pytest
@@ -151,3 +153,27 @@ def test_spellings_of_a_number(spark, text, number):
     from panelspark.functions.numeric import lenient_double
 
     assert spark.createDataFrame([(text,)], "t STRING").select(lenient_double(F.col("t"))).first()[0] == number
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_cells_are_those_of_the_csv_reader(spark, tmp_path, seed):
+    """Stray, doubled and unclosed quotes, line breaks in cells, rows of any width."""
+    draw = random.Random(seed)
+    pieces = ["a", '"', '""', ",", ",", "\n", "\r\n", ' 5" pipe', '"x,y"', '"q""q"', "\u00e9", '"b"c']
+    for number in range(20):
+        text = "".join(draw.choice(pieces) for _ in range(draw.randint(1, 30)))
+        (tmp_path / f"s{number}.csv").write_bytes(draw.choice([b"", b"\xef\xbb\xbf"]) + text.encode())
+    found = {}
+    for row in grid.read_grid(spark, str(tmp_path)).collect():
+        found.setdefault(row.sheet, {})[row.row_idx] = row.cells
+    for number in range(20):
+        with open(tmp_path / f"s{number}.csv", encoding="utf-8-sig", newline="") as file:
+            rows = {i: [c or None for c in row] for i, row in enumerate(csv.reader(file)) if row}
+        assert found.get(f"s{number}", {}) == rows
+
+
+def test_a_quote_inside_a_cell_does_not_swallow_rows(spark, tmp_path):
+    (tmp_path / "s.csv").write_text('h,a 5" pipe,x\n1,2,3\n4,"5, or ""6""",7\n' + "w," * 20_000 + "\n")
+    rows = by(grid.read_grid(spark, str(tmp_path)), "row_idx")
+    assert rows[0,].cells == ["h", 'a 5" pipe', "x"] and rows[2,].cells == ["4", '5, or "6"', "7"]
+    assert len(rows) == 4 and len(rows[3,].cells) == 20_001

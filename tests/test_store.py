@@ -1,4 +1,6 @@
-from datetime import date
+import random
+from datetime import date, datetime
+from itertools import permutations
 from pathlib import Path
 
 import pytest
@@ -17,6 +19,7 @@ from panelspark.schema import (
     normalise_codes,
     rule_report,
     schema_report,
+    tag_rows,
 )
 from panelspark.sources import store
 from panelspark.sources.store import LoadRejected, read_table, upsert_table
@@ -218,3 +221,66 @@ def test_a_batch_is_evaluated_once(spark, tmp_path):
     counted = spark.createDataFrame(batch.rdd.mapPartitions(count), batch.schema)
     assert upsert_table(spark, str(tmp_path), DIESEL, counted, "seq") == 2
     assert seen.value == 2
+
+
+def arriving(spark, *rows):
+    """``(day of arrival, month, geo, value)`` as a batch; the sequence is the place in the batch."""
+    return spark.createDataFrame(
+        [(datetime(2024, 5, day), date(2024, m, 1), geo, v, i) for i, (day, m, geo, v) in enumerate(rows)],
+        "arrived TIMESTAMP, month DATE, geo STRING, diesel_price_per_1000l DOUBLE, seq INT",
+    )
+
+
+def test_loads_in_any_order_leave_the_same_table(spark, tmp_path):
+    january = [(1, 1, "BG", 1.0), (1, 2, "BG", 2.0), (1, 2, "DE", 3.0)]
+    february = [(2, 2, "BG", 20.0), (2, 2, "BG", 21.0), (2, 3, "BG", 30.0)]
+    march = [(3, 3, "BG", 300.0), (3, 1, "DE", 100.0)]
+    expected = {(2024, 1, "BG"): 1.0, (2024, 2, "BG"): 21.0, (2024, 2, "DE"): 3.0,
+                (2024, 3, "BG"): 300.0, (2024, 1, "DE"): 100.0}
+    for number, order in enumerate(permutations([january, february, march])):
+        root = str(tmp_path / str(number))
+        for batch in (*order, order[0]):  # and the first one again
+            upsert_table(spark, root, DIESEL, arriving(spark, *batch), "seq", arrived="arrived")
+        assert stored(spark, root) == expected
+
+
+def test_merge_by_arrival_on_random_batches(spark):
+    draw = random.Random(5)
+    rows = [(draw.randrange(6), draw.randrange(100), draw.choice([None, 1, 2, 3])) for _ in range(60)]
+    batches = [rows[:20], rows[20:40], rows[40:]]
+    at = lambda day: day and datetime(2024, 1, day)
+    schema = "k INT, v INT, arrived TIMESTAMP, seq INT"
+    table, kept = spark.createDataFrame([], "k INT, v INT, arrived TIMESTAMP"), {}
+    for batch in batches:
+        df = spark.createDataFrame([(k, v, at(d), i) for i, (k, v, d) in enumerate(batch)], schema)
+        table = upsert.merge_by_arrival(table, df, ["k"], ["v"], "seq")
+        last = {}
+        for k, v, d in batch:
+            if k not in last or (d or 0) >= last[k][1]:
+                last[k] = (v, d or 0)
+        for k, (v, d) in last.items():
+            if k not in kept or d >= kept[k][1]:
+                kept[k] = (v, d)
+    assert {r.k: r.v for r in table.collect()} == {k: v for k, (v, _) in kept.items()}
+
+
+def test_broken_rows_are_set_aside_with_their_rules(spark, tmp_path):
+    root = str(tmp_path)
+    batch = diesel(spark, (2024, 1, "BG", 1.0), (2024, 1, "BG", None), (2024, 2, "A" * 17, None), (2024, 3, "DE", 3.0))
+    assert store.read_rejected(spark, root, DIESEL).count() == 0
+    assert upsert_table(spark, root, DIESEL, batch, "seq", on_breach="quarantine") == 4
+    assert stored(spark, root) == {(2024, 1, "BG"): 1.0, (2024, 3, "DE"): 3.0}
+    rejected = by(store.read_rejected(spark, root, DIESEL), "geo")
+    null = "diesel_price_per_1000l_is_null"
+    assert {k[0]: r.broken for k, r in rejected.items()} == {"BG": [null], "A" * 17: [null, "geo_longer_than_16"]}
+    # Only rejected rows: nothing to merge, and the table stays.
+    assert upsert_table(spark, root, DIESEL, diesel(spark, (2024, 9, "RO", None)), "seq", on_breach="quarantine") == 1
+    assert len(stored(spark, root)) == 2 and store.read_rejected(spark, root, DIESEL).count() == 3
+    assert not list((tmp_path / DIESEL.name / "staged").glob("*"))
+
+
+def test_every_row_of_a_batch_is_accepted_or_has_reasons(spark):
+    rows = [(2024, "BG", 1.0, 0), (2024, "BG", 2.0, 1), (2024, "BG", None, 2), (None, "DE", 1.0, 3), (2025, "DE", 1.0, 4)]
+    df = spark.createDataFrame(rows, "year INT, geo STRING, food_expenditure_share_pct DOUBLE, seq INT")
+    tagged = {r.seq: r.broken for r in tag_rows(df, FOOD_SHARE, "seq").collect()}
+    assert tagged == {0: ["superseded"], 1: [], 2: ["food_expenditure_share_pct_is_null"], 3: ["year_is_null"], 4: []}

@@ -6,9 +6,13 @@ region and month, or per year.
 
 from __future__ import annotations
 
+import tempfile
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from panelspark.plans import loads
+from panelspark.streaming.landing import checkpoint_dir
 
 # A month or week is placed by its distance from this fixed Monday.
 ORIGIN = "1990-01-01"
@@ -91,6 +95,34 @@ def weekly_sheet(weekly: DataFrame, members: list[str], value: str, gap: int) ->
     return header.unionByName(body)
 
 
+def sheet_file(sheet: DataFrame) -> str:
+    """A sheet as one text file in a folder of its own below the shared one, until the session ends.
+
+    The file starts with a byte-order mark; every second cell is quoted, and empty cells of some rows
+    hold text with a quote inside.
+    """
+    spark = sheet.sparkSession
+
+    def cell(text: Column, at: Column) -> Column:
+        stray = F.when(F.col("row_idx") % 2 == 0, F.lit('5" pipe')).otherwise("")
+        quoted = F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.when(text.isNull(), stray).when(at % 2 == 0, quoted).otherwise(text)
+
+    line = F.array_join(F.transform("cells", cell), ",")
+    # One value per week: the calendar bounds the file.
+    lines = F.array_sort(F.collect_list(F.struct("row_idx", line.alias("line"))))
+    rows = F.transform(
+        F.sequence(F.lit(0).cast("bigint"), F.max("row_idx")),
+        lambda i: F.coalesce(F.try_element_at(F.map_from_entries(lines), i), F.lit("")),
+    )
+    text = sheet.agg(F.concat(F.lit("\ufeff"), F.array_join(rows, "\n")).alias("value"))
+    folder = checkpoint_dir(spark, f"sheet-{uuid4().hex}", tempfile.mkdtemp())
+    text.coalesce(1).write.text(folder)
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    return folder
+
+
 def year_sheets(annual: DataFrame, value: str) -> DataFrame:
     """A sheet per geography with a row of years and a row of values."""
     years = F.array_sort(F.collect_list(F.struct("year", F.col(value).alias("v"))))

@@ -639,9 +639,26 @@ WHERE CAST(split_part(geo, '_', 2) AS INT) % 3 = 0""",
 QUALIFY dense_rank() OVER (PARTITION BY document, geo ORDER BY month DESC) <= 24""",
         "cells",
     ),
+    "cube_last_positions": query(
+        """SELECT document, geo, month, value FROM cells JOIN region_span USING (document)
+WHERE date_diff('month', month, hi) < 24""",
+        "region_span",
+        "cells",
+    ),
+    "cube_strict": query(
+        """SELECT geo, CAST(year AS VARCHAR) AS time, '2024-01' AS arrived, CAST(v AS DOUBLE) AS value FROM income
+UNION ALL SELECT geo, CAST(year AS VARCHAR), '2024-02', CAST(v + 1 AS DOUBLE) FROM income WHERE year % 2 = 0""",
+        "income",
+    ),
     "grid_columns": query(
         f"""SELECT d.day AS date, r_name AS geo, {num("v", "price")}
 FROM (SELECT DISTINCT day FROM week_prices) d CROSS JOIN region
+LEFT JOIN week_prices p ON p.day = d.day AND p.geo = r_name""",
+        "week_prices",
+    ),
+    "grid_file": query(
+        f"""SELECT d.day AS date, r_name AS geo, {num("v", "price")}
+FROM (SELECT DISTINCT day FROM week_prices) d CROSS JOIN region
 LEFT JOIN week_prices p ON p.day = d.day AND p.geo = r_name""",
         "week_prices",
     ),
@@ -698,6 +715,23 @@ FROM income WHERE geo IN {MEMBERS} AND year BETWEEN 1996 AND 2000""",
 GROUP BY ALL""",
         "week_prices",
     ),
+    "merge_by_arrival": """SELECT custkey, m.amount, m.arrived FROM (
+  SELECT custkey, arg_max({amount: amount, arrived: arrived}, (arrived, side, o_orderkey)) AS m FROM (
+    SELECT c_custkey AS custkey, c_acctbal AS amount, DATE '1997-06-01' AS arrived, 0 AS side, 0 AS o_orderkey
+    FROM customer
+    UNION ALL SELECT o_custkey, o_totalprice, CAST(o_orderdate AS DATE), 1, o_orderkey FROM orders)
+  GROUP BY custkey)""",
+    "rows_with_reasons": """WITH r AS (
+  SELECT c_custkey, CASE WHEN c_custkey % 11 <> 0 THEN c_nationkey END AS year,
+    CASE WHEN c_custkey % 13 = 0 THEN c_mktsegment || c_mktsegment ELSE c_mktsegment END AS geo,
+    c_custkey % 17 = 0 AS no_share FROM customer
+), t AS (
+  SELECT *, concat_ws(',', CASE WHEN year IS NULL THEN 'year_is_null' END,
+    CASE WHEN no_share THEN 'food_expenditure_share_pct_is_null' END,
+    CASE WHEN length(geo) > 16 THEN 'geo_longer_than_16' END) AS rules FROM r
+)
+SELECT c_custkey, CASE WHEN rules = '' AND c_custkey < max(c_custkey)
+    FILTER (rules = '') OVER (PARTITION BY year, geo) THEN 'superseded' ELSE rules END AS broken FROM t""",
     "narrow": f"""SELECT c_nationkey AS year, c_mktsegment AS geo, c_custkey,
   {num(dec("c_acctbal / 1000", 5, 2), "food_expenditure_share_pct")} FROM customer""",
     "upsert_with_duplicate_target": """SELECT l_suppkey AS key, l_extendedprice AS amount FROM lineitem

@@ -207,6 +207,38 @@ def upsert_last_write_wins(spark, d):
     return upsert.upsert(target, batch, ["custkey"], ["amount"], "o_orderkey")
 
 
+@operator
+def merge_by_arrival(spark, d):
+    """Account balances of one day, and orders of days before and after it: the last arrival stays."""
+    target = star.table(spark, d, "customer").select(
+        F.col("c_custkey").alias("custkey"),
+        F.col("c_acctbal").alias("amount"),
+        F.lit("1997-06-01").cast("timestamp").alias("arrived"),
+    )
+    batch = star.table(spark, d, "orders").select(
+        F.col("o_custkey").alias("custkey"),
+        F.col("o_totalprice").alias("amount"),
+        F.col("o_orderdate").cast("timestamp").alias("arrived"),
+        "o_orderkey",
+    )
+    merged = upsert.merge_by_arrival(target, batch, ["custkey"], ["amount"], "o_orderkey")
+    return merged.withColumn("arrived", F.col("arrived").cast("date"))
+
+
+@operator
+def rows_with_reasons(spark, d):
+    """Every row of a batch for the share table with the rules it breaks; none means accepted."""
+    number = F.col("c_custkey")
+    rows = star.table(spark, d, "customer").select(
+        F.when(number % 11 != 0, F.col("c_nationkey")).alias("year"),
+        F.when(number % 13 == 0, F.repeat("c_mktsegment", 2)).otherwise(F.col("c_mktsegment")).alias("geo"),
+        F.when(number % 17 != 0, F.col("c_acctbal")).alias("food_expenditure_share_pct"),
+        "c_custkey",
+    )
+    tagged = schema.tag_rows(rows, FOOD_SHARE, "c_custkey")
+    return tagged.select("c_custkey", F.array_join("broken", ",").alias("broken"))
+
+
 @operator
 def key_breaches_by_category(spark, d):
     """Rows that would break the key of the share table if customer segments were its years."""
@@ -405,6 +437,22 @@ def cube_last_periods(spark, d):
     return growth.last_periods(_decoded(spark, d), ["document", "geo"], "month", 24)
 
 
+@operator
+def cube_last_positions(spark, d):
+    """The latest 24 months of each document, left out of the cells before rows are built."""
+    return _decoded(spark, d, last={"time": 24})
+
+
+@operator
+def cube_strict(spark, d):
+    """Cubes of the income and of its revision, where an empty cell would be an error."""
+    cubes = encode.income_documents(star.income(spark, d), "income_pps")
+    cells = cube.decode_cube(
+        cubes, [*loads.INCOME_DIMS, "geo", "time"], on_missing="error", keep=["arrived"]
+    )
+    return cells.select("geo", "time", F.date_format("arrived", "yyyy-MM").alias("arrived"), "value")
+
+
 def _weekly_sheet(spark, d):
     weekly = star.weekly_price(spark, d)
     return encode.weekly_sheet(weekly, list(star.REGIONS), "diesel_price_per_1000l", gap=3)
@@ -419,6 +467,13 @@ def grid_columns(spark, d):
     return grid.columns_to_long(_weekly_sheet(spark, d), SHEET_COLUMNS, "price", first_row=3)
 
 
+@operator
+def grid_file(spark, d):
+    """The weekly sheet as a file with quoted cells, stray quotes and a byte-order mark, read again."""
+    folder = encode.sheet_file(_weekly_sheet(spark, d))
+    return grid.columns_to_long(grid.read_grid(spark, folder), SHEET_COLUMNS, "price", first_row=3)
+
+
 @operator
 def grid_columns_monthly(spark, d):
     """The same, resampled to months with the empty ones."""
