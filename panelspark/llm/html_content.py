@@ -112,6 +112,8 @@ class Page:
     runs: list[tuple[int, str]]
 
 
+# A comment ends at --> or --!>; <!--> and <!---> are whole ones.
+_COMMENT = re.compile(r"<!--(?:-?>|.*?--!?>)", re.S)
 # Attribute values in quotes may hold ">"; possessive repeats keep the match linear.
 _TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -169,8 +171,8 @@ class _Reader:
                     close = RAW[name].search(html, at)
                     at = close.start() if close else end
             elif html.startswith("<!--", less):
-                close = html.find("-->", less + 4)
-                at = close + 3 if close >= 0 else end
+                close = _COMMENT.match(html, less)
+                at = close.end() if close else end
             elif html[less + 1 : less + 2] in {"!", "?", "/"} or html[less + 1 : less + 2].isalpha():
                 close = html.find(">", less + 2)
                 at = close + 1 if close >= 0 else end

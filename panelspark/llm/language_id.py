@@ -28,6 +28,8 @@ DIM = 1 << 15
 #: Bounds of the training sample, in rows: for each language, and in total.
 SAMPLE_ROWS = 1500
 SAMPLE_TOTAL = 24000
+#: A pipeline rejects texts whose predicted language has a lower score.
+LEAST_SCORE = 0.3
 #: Characters hashed at a time, so memory does not grow with the length of a text.
 CHUNK = 1 << 20
 
@@ -73,7 +75,8 @@ def ngram_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    """Whether ``text`` has a character of category L; fractions and Roman numerals are numbers."""
+    return bool(text) and any(found[0].isalpha() for found in _LETTER.finditer(text))
 
 
 @dataclass(frozen=True)
@@ -224,11 +227,16 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
 
 def known_language(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text has a language; the columns of ``docs``.
+    """The rows of ``docs`` whose text has a language; the columns of ``docs``, whatever their names.
 
-    Rejected are texts that are NULL or without a letter. A model that knows no language rejects no other.
+    Rejected are texts that are NULL or without a letter, and texts of which the model is not sure: a score
+    below ``LEAST_SCORE``. A model that knows no language rejects only the former. Texts of any length are
+    read whole, repeated rows stay, an empty table gives an empty result.
     """
     if not model.families:
         return docs.where(F.col(text).rlike(r"\p{L}"))
-    found = docs.withColumn("__found", predict(F.col(text), model))
-    return found.where(F.col("__found.lang_pred") != UNKNOWN).drop("__found")
+    # The row travels as one value, so its columns cannot clash with the prediction.
+    row = F.struct(*[F.col(quoted(c)) for c in docs.columns])
+    found = docs.select(row.alias("row"), predict(F.col(text), model).alias("found"))
+    sure = (F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= LEAST_SCORE)
+    return found.where(sure).select("row.*")

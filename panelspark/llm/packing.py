@@ -147,8 +147,9 @@ def pack(
         F.col(key).cast("long").alias("key"),
         F.explode(pieces(F.col(text), path, row_tokens, kind)).alias("p"),
     ).select("key", "p.part", "p.n", "p.ids")
-    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("key", "part"), F.lit(shards)))
-    ordered = dealt.repartition(shards, "shard").sortWithinPartitions(
+    # The ids are part of the hash, so equal or missing keys spread; one task for each shard.
+    dealt = cut.withColumn("shard", F.pmod(F.xxhash64("key", "part", "ids"), F.lit(shards)))
+    ordered = dealt.repartitionById(shards, F.col("shard").cast("int")).sortWithinPartitions(
         "shard", F.desc("n"), "key", "part", "ids"
     )
 

@@ -258,17 +258,23 @@ def dawid_skene(
     return posterior, reliability
 
 
-def train_classifier(rows: list[list[int]], targets: np.ndarray, steps: int = 300) -> np.ndarray:
-    """Logistic regression on soft targets with an L2 penalty; the last weight is the bias."""
+def train_classifier(
+    rows: list[list[int]], targets: np.ndarray, numbers: np.ndarray | None = None, steps: int = 300
+) -> np.ndarray:
+    """Logistic regression on soft targets with an L2 penalty; the last weight is the bias.
+
+    ``numbers`` says how often each row occurs, by default once.
+    """
+    numbers = np.ones(len(rows)) if numbers is None else numbers
     flat = np.array([f for r in rows for f in r], np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     theta = np.zeros(DIM + 1)
-    n = max(len(rows), 1)
+    n = max(float(numbers.sum()), 1.0)
     for step in range(steps):
         logit = np.bincount(owner, theta[flat], len(rows)) + theta[-1]
-        wrong = 1 / (1 + np.exp(-logit)) - targets
+        wrong = (1 / (1 + np.exp(-logit)) - targets) * numbers
         gradient = np.bincount(flat, wrong[owner], DIM + 1) / n
-        gradient[-1] = wrong.mean() if len(rows) else 0.0
+        gradient[-1] = wrong.sum() / n
         theta -= (4.0 / (1 + step / 100)) * (gradient + 1e-4 * theta)
     return theta
 
@@ -349,9 +355,10 @@ def fit(docs: DataFrame, text: str = "text", sample_spans: int = SAMPLE_SPANS) -
     kinds = different.count()
     if kinds > sample_spans:
         different = different.where(hash_unit(key) < sample_spans / kinds)
-    sample = sorted((r["kind"], r["votes"], r["features"]) for r in different.collect())
-    targets = np.array([posteriors[k, v] for k, v, _ in sample])
-    return PiiModel(reliabilities, train_classifier([f for _, _, f in sample], targets))
+    sample = sorted((r["kind"], r["votes"], r["features"], r["n"]) for r in different.collect())
+    targets = np.array([posteriors[k, v] for k, v, _, _ in sample])
+    numbers = np.array([float(n) for *_, n in sample])
+    return PiiModel(reliabilities, train_classifier([f for _, _, f, _ in sample], targets, numbers))
 
 
 def listed(spans: list[Span]) -> str:

@@ -130,3 +130,10 @@ def test_formulas_and_stand_ins_are_left_to_the_model(model):
 @pytest.mark.parametrize("piece", ["<svg>", "<video>", "<button><i></b>", "<template><b></i>", "<svg><p>", "<noscript>x"])
 def test_time_of_hidden_elements_is_linear(model, piece):
     model.text("<div>" + piece * 30000 + "</p>" * 30000)
+
+
+@pytest.mark.parametrize("comment", ["<!-->", "<!--->", "<!-- x --!>", "<!-- a > b -->", "<!---->"])
+def test_comments_end_where_browsers_end_them(comment):
+    page = f"<html><body><p>One two three.</p>{comment}<p>Four five six.</p><!-- open <p>gone"
+    found = " ".join(text for _, text in H.read_page(page).runs)
+    assert "One two three." in found and "Four five six." in found and "gone" not in found

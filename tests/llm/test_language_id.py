@@ -1,5 +1,6 @@
 """Language identification: held-out accuracy and odd input."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from panelspark.llm.language_id import fit, identify, known_language, ngram_features
@@ -58,3 +59,11 @@ def test_odd_documents(documents, odd_documents, no_documents):
     nothing = fit(no_documents)
     assert {r["lang_pred"] for r in identify(odd_documents, nothing).collect()} == {"und"}
     assert known_language(odd_documents, nothing).count() == 8
+
+
+@pytest.mark.parametrize("text", [None, "", "12 34", "½ 25 ²", "Ⅷ", "_ ¾ ٣"])
+def test_numbers_are_no_letters(text):
+    from panelspark.llm.language_id import has_letter
+
+    assert not has_letter(text)
+    assert has_letter((text or "") + " ª") and has_letter("Ⅷ中")
