@@ -35,11 +35,11 @@ UNIT = 1_000_000_000
 MIN_DOCS = 3
 TOP_TERMS = 200
 #: Kept terms of a block.
-BLOCK_TERMS = 1 << 13
+BLOCK_TERMS = 1 << 12
 #: Sources on each side of a task.
 SOURCES = 32
 #: Different terms that a task counts before it hands them on.
-HELD_TERMS = 200_000
+HELD_TERMS = 1_000_000
 
 
 def _text(column: str) -> Column:
@@ -54,13 +54,12 @@ def term_counts(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame
 
         def handed() -> Iterator[pa.RecordBatch]:
             for (lang_, source_), (n, of) in held.items():
-                terms = [t.decode() for t in n]
                 columns = [
-                    pa.array([lang_] * len(terms), pa.string()),
-                    pa.array([source_] * len(terms), pa.string()),
-                    pa.array(terms, pa.string()),
+                    pa.repeat(lang_, len(n)),
+                    pa.repeat(source_, len(n)),
+                    pa.array(n, pa.binary()).cast(pa.string()),
                     pa.array(n.values(), pa.int64()),
-                    pa.array([of[t] for t in n], pa.int64()),
+                    pa.array(map(of.__getitem__, n), pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
             held.clear()
