@@ -112,6 +112,11 @@ class LanguageModel:
         return language, score * votes[language] / (len(languages) - 1)
 
 
+def sample_position(key: Column, text: Column) -> Column:
+    """Where a row lies between 0 and 1 for the sample: by key and text, so missing keys spread."""
+    return hash_unit(F.concat_ws("|", key, F.md5(F.coalesce(text, F.lit("")))))
+
+
 def fit(
     labelled: DataFrame,
     text: str = "text",
@@ -123,8 +128,8 @@ def fit(
     """A model from the rows of ``labelled`` with a language and a letter in the text.
 
     About ``sample_rows`` rows of each language at most (fewer if the languages are so many that they
-    would pass ``SAMPLE_TOTAL`` together) train it, chosen by the hash of the key (the same
-    ones on every run); they are the only rows that leave the scan. Without labelled rows the model
+    would pass ``SAMPLE_TOTAL`` together) train it, chosen by the hash of key and text (the same
+    ones on every run, and NULL or repeated keys spread); they are the only rows that leave the scan. Without labelled rows the model
     knows no language.
     """
     known = FAMILIES if families is None else families
@@ -149,7 +154,7 @@ def fit(
         F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, most / n))]),
         F.col("lang"),
     )
-    sample = rows.where(hash_unit(F.col("key")) < share)
+    sample = rows.where(sample_position(F.col("key"), F.col(text)) < share)
     tasks = [f"family:{f}" for f in names] + [f"pair:{a}:{b}" for a, b in pairs]
     family_of = {x: f for f, xs in members.items() for x in xs}
     wanted = {

@@ -3,7 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from panelspark.llm.language_id import fit, identify, known_language, ngram_features
+from panelspark.llm.language_id import (
+    fit,
+    identify,
+    known_language,
+    ngram_features,
+    sample_position,
+)
 from panelspark.llm.queries import op1_language_id
 
 
@@ -67,3 +73,11 @@ def test_numbers_are_no_letters(text):
 
     assert not has_letter(text)
     assert has_letter((text or "") + " ª") and has_letter("Ⅷ中")
+
+
+def test_sample_spreads_rows_without_a_key(spark):
+    rows = [(None, f"the house and the river {i}") for i in range(400)] + [(1, None), (None, None)]
+    df = spark.createDataFrame(rows, "key string, text string")
+    place = sample_position(F.col("key"), F.col("text"))
+    assert 60 < df.where(place < 0.25).count() < 140
+    assert df.where(place.isNull() | (place >= 1)).count() == 0
