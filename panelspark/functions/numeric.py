@@ -1,4 +1,4 @@
-"""Numeric expressions: growth rates, exact means, correlation from moments."""
+"""Numeric expressions: growth rates, lenient numbers, exact means."""
 
 from __future__ import annotations
 
@@ -61,19 +61,3 @@ def mean_of(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, DecimalType):
         return F.sum(value).cast("double") / F.count(value)
     return F.avg(value)
-
-
-def moment_correlation(x: Column, y: Column) -> Column:
-    """``(E[xy] - E[x]E[y]) / (sd(x) sd(y))`` with each moment over its own non-null rows.
-
-    With NULLs on one side only this is not Pearson's coefficient; see
-    :func:`pairwise_correlation`.
-    """
-    spread = F.nullif(F.stddev_pop(x) * F.stddev_pop(y), F.lit(0.0))
-    return (F.avg(x * y) - F.avg(x) * F.avg(y)) / spread
-
-
-def pairwise_correlation(x: Column, y: Column) -> Column:
-    """The same over the rows where both sides are present; NULL for a constant side."""
-    both = x.isNotNull() & y.isNotNull()
-    return moment_correlation(F.when(both, x), F.when(both, y))

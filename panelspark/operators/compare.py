@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType
 
 from panelspark.functions.numeric import growth_pct, rounded
+from panelspark.operators.moments import Moments
 
 
 def gap_vs_benchmark(
@@ -87,9 +88,14 @@ def summary(
 
     ``names`` maps ``avg``, ``min``, ``max``, ``stddev_pop`` to output columns.
     """
-    return df.groupBy(*key).agg(
-        *[F.round(getattr(F, how)(value), digits).alias(out) for how, out in names.items()]
-    )
+    moments = Moments(df, key, {value: F.col(value)})
+    how_to = {
+        "avg": lambda: moments.mean(value),
+        "min": lambda: F.min(value),
+        "max": lambda: F.max(value),
+        "stddev_pop": lambda: moments.stddev_pop(value),
+    }
+    return moments.agg(*[F.round(how_to[how](), digits).alias(out) for how, out in names.items()])
 
 
 def endpoints(

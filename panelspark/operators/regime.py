@@ -6,7 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelspark.functions.numeric import moment_correlation, pairwise_correlation, rounded
+from panelspark.functions.numeric import rounded
+from panelspark.operators.moments import Moments
 
 
 def direction(signal: Column, up: str, down: str, flat: str, missing: str | None = None) -> Column:
@@ -26,14 +27,25 @@ def lag_correlation(
     method: str = "moments",
     digits: int = 3,
 ) -> DataFrame:
-    """Correlation of the target with each ``signal -> output`` column, in one aggregation."""
-    correlate = {"moments": moment_correlation, "pairwise": pairwise_correlation}[method]
-    y = F.col(target).cast("double")
-    return df.groupBy(*key).agg(
-        *[
-            rounded(correlate(F.col(x).cast("double"), y), digits).alias(out)
-            for x, out in signals.items()
-        ]
+    """Correlation of the target with each ``signal -> output`` column.
+
+    ``moments`` takes each moment over its column's own non-null rows, ``pairwise`` all of them over
+    the rows that have both.
+    """
+    y = F.col(target)
+    columns = {target: y, **{x: F.col(x) for x in signals}}
+    names = {x: (x, target) for x in signals}
+    if method == "pairwise":
+        columns, names = {}, {}
+        for x in signals:
+            both = F.col(x).isNotNull() & y.isNotNull()
+            names[x] = f"{x} of both", f"{target} beside {x}"
+            columns.update(zip(names[x], (F.when(both, F.col(x)), F.when(both, y)), strict=True))
+    elif method != "moments":
+        raise ValueError(f"method is moments or pairwise, not {method!r}")
+    moments = Moments(df, key, columns)
+    return moments.agg(
+        *[rounded(moments.correlation(*names[x]), digits).alias(out) for x, out in signals.items()]
     )
 
 
@@ -56,13 +68,10 @@ def regime_summary(
     digits: int = 2,
 ) -> DataFrame:
     """Observations and mean target per group and regime label."""
-    return (
-        df.withColumn(name, label)
-        .groupBy(*key, name)
-        .agg(
-            F.count(F.lit(1)).alias("observations"),
-            rounded(F.avg(target), digits).alias(out),
-        )
+    moments = Moments(df.withColumn(name, label), [*key, name], {target: F.col(target)})
+    return moments.agg(
+        F.count(F.lit(1)).alias("observations"),
+        rounded(moments.mean(target), digits).alias(out),
     )
 
 
@@ -79,8 +88,10 @@ def regime_compare(
     """One row per group: counts and mean target while the signal is up and down, and the
     difference of the unrounded means.  Rows without a signal, or with 0, are in neither."""
     up, down = F.col(signal) > 0, F.col(signal) < 0
-    mean_up, mean_down = F.avg(F.when(up, F.col(target))), F.avg(F.when(down, F.col(target)))
-    return df.groupBy(*key).agg(
+    masked = {"up": F.when(up, F.col(target)), "down": F.when(down, F.col(target))}
+    moments = Moments(df, key, masked)
+    mean_up, mean_down = moments.mean("up"), moments.mean("down")
+    return moments.agg(
         F.count(F.when(up, 1)).alias(f"{prefix}_up_observations"),
         F.count(F.when(down, 1)).alias(f"{prefix}_down_observations"),
         rounded(mean_up, digits).alias(f"avg_{subject}_when_{prefix}_up"),
