@@ -1,7 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Terms are the words of the benchmark, weighted by a damped inverse document frequency, so neither names nor
-common words decide alone. A distributed randomised SVD of TF-IDF passages gives a latent basis.
+common words decide alone. A distributed randomised SVD of the TF-IDF passages of all documents gives a latent
+basis.
 Windows of every document, as long as the items and overlapping, are compared with the items in the
 latent space: the product of a window with an item's direction estimates the share of the item that the
 window holds. Windows above ``CANDIDATE_SHARE`` are candidates, and only they are verified, in the words
@@ -23,7 +24,7 @@ import re
 from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 from itertools import islice, repeat
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, DataType, DoubleType, IntegralType, LongType, StructType
 
-from panelspark.llm.common import hash_unit, quoted, stored, without
+from panelspark.llm.common import quoted, stored, without
 
 ITEMS_PER_BLOCK = 256
 BLOCKS_PER_PASS = 16
@@ -43,8 +44,6 @@ RANK, OVERSAMPLE = 192, 16
 ROUNDS, ITEM_WEIGHT = 2, 9.0
 #: Words of a passage for document frequencies and for the SVD.
 PASSAGE = 64
-#: The basis (not the search) is fitted on about this many passages.
-SAMPLE_PASSAGES = 20000
 #: Windows begin at multiples of GRID words; classes of item lengths have windows of their own.
 GRID = 8
 #: Share of an item that a window must hold by the latent estimate to be a candidate.
@@ -55,8 +54,10 @@ MATCH_SHARE, ANSWER_SHARE = 0.75, 0.5
 CLOSE_SHARE, CLOSE_MATCH, CLOSE_ANSWER = 0.6, 0.6, 1.0
 #: Below this share of an item's squared weight in the basis, its latent estimate is not used.
 WEAK_DIRECTION = 0.3
-#: Words of the passages that a task adds to the SVD at a time.
-SKETCH_CELLS = 1 << 18
+#: Cells (a term in a passage) of a stored row, and those whose products are made at a time.
+ROW_CELLS, PAIR_CELLS = 1 << 18, 1 << 14
+#: Rows of the products of terms that travel together, and cells of those products that a task holds.
+TERM_BLOCK, STRIP_CELLS = 64, 1 << 24
 #: Words searched at a time: bounds the memory of a task whatever the length of a text.
 CHUNK_WORDS = 1 << 17
 
@@ -161,17 +162,52 @@ def _passage_terms(text: str | None, terms: dict[str, int]) -> tuple[np.ndarray,
     return at // PASSAGE, numbers[at].astype(np.int64), -(-len(numbers) // PASSAGE)
 
 
-def term_weights(docs: DataFrame, text: str, terms: dict[str, int]) -> tuple[np.ndarray, int]:
-    """The weight of each term over the passages of all documents, and the number of passages."""
+def passage_cells(docs: DataFrame, text: str, terms: dict[str, int]) -> DataFrame:
+    """The terms of every passage of all documents, stored, so texts are taken apart once.
+
+    A row holds many passages: ``sizes`` has the number of different terms of each, ``terms`` those terms,
+    increasing within a passage, and ``counts`` how often each stands there. None is above ``PASSAGE``.
+    """
     size = len(terms)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, total = np.zeros(size, np.int64), 0
+    def convert(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, filled = [], 0
+
+        def row() -> pa.RecordBatch:
+            columns = [[b"".join(column)] for column in zip(*held, strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in columns], ["sizes", "terms", "counts"])
+
         for batch in batches:
             for cell in batch.column(0):
                 passage, term, n = _passage_terms(cell.as_py(), terms)
-                total += n
-                seen += np.bincount(np.unique(passage * size + term) % size, minlength=size)
+                cells, counts = np.unique(passage * size + term, return_counts=True)
+                sizes = np.bincount(cells // size, minlength=n)
+                held.append(
+                    (
+                        sizes.astype("u1").tobytes(),
+                        (cells % size).astype("<u4").tobytes(),
+                        counts.astype("u1").tobytes(),
+                    )
+                )
+                filled += len(cells) + n
+                if filled > ROW_CELLS:
+                    yield row()
+                    held, filled = [], 0
+        if held:
+            yield row()
+
+    return stored(docs.select(text).mapInArrow(convert, "sizes binary, terms binary, counts binary"))
+
+
+def term_weights(cells: DataFrame, size: int) -> np.ndarray:
+    """The weight of each of the ``size`` terms over the passages of all documents."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, total = np.zeros(size, np.int64), 0
+        for batch in batches:
+            for sizes, terms in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                total += len(sizes)
+                seen += np.bincount(np.frombuffer(terms, "<u4"), minlength=size)
         some = np.flatnonzero(seen)
         yield pa.RecordBatch.from_pydict(
             {
@@ -180,7 +216,7 @@ def term_weights(docs: DataFrame, text: str, terms: dict[str, int]) -> tuple[np.
             }
         )
 
-    found = docs.select(text).mapInArrow(count, "term long, n long")
+    found = cells.select("sizes", "terms").mapInArrow(count, "term long, n long")
     rows = found.groupBy("term").agg(F.sum("n").alias("n")).collect()  # one for each term
     seen = np.zeros(size)
     passages = 0
@@ -190,103 +226,150 @@ def term_weights(docs: DataFrame, text: str, terms: dict[str, int]) -> tuple[np.
         else:
             seen[row["term"]] = row["n"]
     weights = np.log((passages + 1.0) / (seen + 1.0)) ** DAMPING
-    return np.maximum(weights, LEAST_WEIGHT), passages
+    return np.maximum(weights, LEAST_WEIGHT)
 
 
-def latent_basis(
-    sample: DataFrame, text: str, items: Items, weights: np.ndarray, seed: int = 11
-) -> np.ndarray:
-    """An orthonormal basis (terms by RANK) of the leading right singular vectors.
+def add_products(
+    sums: np.ndarray, low: int, term: np.ndarray, counts: np.ndarray, sizes: np.ndarray, weights: np.ndarray
+) -> None:
+    """Adds the products of normalised TF-IDF passages, term by later or equal term, to ``sums``.
 
-    A holds the normalised TF-IDF passages of ``sample`` and the items, weighted. Each round, a task adds
-    up its part of A'(A R), at first for one random matrix R and then for the orthonormal factor of the
-    last sum; the parts are summed on the cluster by blocks of terms.
+    ``sums`` has the rows of the terms from ``low`` on, and all columns. ``term`` and ``counts`` lie passage by
+    passage, ``sizes`` of each, the terms of a passage increasing.
     """
-    size, width, block = len(items.terms), RANK + OVERSAMPLE, 256
-    blocks = -(-size // block)
-
-    def part(cells: np.ndarray, counts: np.ndarray, draw: np.ndarray, out: np.ndarray) -> None:
-        """Adds A'(A R) of some passages to ``out``; ``cells`` are passage * size + term, increasing."""
-        passage, term = cells // size, cells % size
-        entries = counts * weights[term]
-        norms = np.sqrt(np.bincount(passage, entries**2))
-        entries = (entries / np.maximum(norms[passage], 1e-9)).astype(np.float32)[:, None]
-        firsts = np.flatnonzero(np.diff(passage, prepend=-1))
-        products = np.zeros((len(norms), draw.shape[1]), np.float32)
-        products[passage[firsts]] = np.add.reduceat(draw[term] * entries, firsts, axis=0)
-        order = np.argsort(term, kind="stable")
-        sorted_term = term[order]
-        firsts = np.flatnonzero(np.diff(sorted_term, prepend=-1))
-        sums = np.add.reduceat(products[passage[order]] * entries[order], firsts, axis=0)
-        out[sorted_term[firsts]] += sums
+    entries = counts * weights[term]
+    passage = np.repeat(np.arange(len(sizes)), sizes)
+    norms = np.sqrt(np.bincount(passage, entries**2, len(sizes)))
+    entries = entries / np.maximum(norms[passage], 1e-9)
+    # Each place with those from it to the end of its passage.
+    firsts = np.flatnonzero((term >= low) & (term < low + len(sums)))
+    rest = np.cumsum(sizes)[passage[firsts]] - firsts
+    ends = np.cumsum(rest)
+    seconds = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - rest - firsts, rest)
+    rows = np.repeat((term[firsts] - low) * sums.shape[1], rest)
+    np.add.at(sums.ravel(), rows + term[seconds], np.repeat(entries[firsts], rest) * entries[seconds])
+
+
+def _added(parts: DataFrame, blocks: int) -> DataFrame:
+    """The sums of ``sums`` (doubles) and ``n`` by block; a task holds the sums of its blocks."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
-        passages = 0
+        passages: dict[int, int] = {}
         for batch in batches:
             for number, data, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                matrix = np.frombuffer(data, np.float32).astype(np.float64)
-                sums[number] = sums[number] + matrix if number in sums else matrix
-                passages += n
-        if sums:
+                matrix = np.frombuffer(data, "<f8")
+                if number in sums:
+                    sums[number] += matrix
+                else:
+                    sums[number] = matrix.copy()
+                passages[number] = passages.get(number, 0) + n
+        for number, matrix in sums.items():
             yield pa.RecordBatch.from_pydict(
                 {
-                    "block": pa.array(list(sums), pa.int32()),
-                    "sums": pa.array([m.astype("<f8").tobytes() for m in sums.values()], pa.binary()),
-                    "n": pa.array([passages, *[0] * (len(sums) - 1)], pa.int64()),
+                    "block": pa.array([number], pa.int32()),
+                    "sums": pa.array([matrix.tobytes()], pa.binary()),
+                    "n": pa.array([passages[number]], pa.int64()),
                 }
             )
 
-    def add_held(held: list[np.ndarray], out: np.ndarray, draw: np.ndarray) -> None:
-        cells, counts = np.unique(np.concatenate([np.zeros(0, np.int64), *held]), return_counts=True)
-        if not len(cells):
-            return
-        # 1024 passages at a time; a long text fills many of them.
-        first, last = cells[0] // size, cells[-1] // size
-        cuts = np.searchsorted(cells, np.arange(first, last + 1, 1024) * size)
-        for low, high in zip(cuts, [*cuts[1:], len(cells)], strict=True):
-            if low < high:
-                some = cells[low:high]
-                part(some - some[0] // size * size, counts[low:high], draw, out)
+    dealt = parts.repartition(min(blocks, 32), "block")
+    return dealt.mapInArrow(add, "block int, sums binary, n long")
 
-    draw = np.random.default_rng(seed).standard_normal((size, width), dtype=np.float32)
-    for _ in range(ROUNDS):
 
-        def sketch(
-            batches: Iterator[pa.RecordBatch], draw: np.ndarray = draw
-        ) -> Iterator[pa.RecordBatch]:
-            total, passages = np.zeros((size, width), np.float32), 0
-            held, filled = [], 0  # cells of the passages that are priced together
+def term_products(cells: DataFrame, places: np.ndarray, weights: np.ndarray) -> DataFrame:
+    """A'A of the normalised TF-IDF passages A of all documents, stored by blocks of ``TERM_BLOCK`` terms.
+
+    ``places`` has the number of each stored term among the ``weights``, increasing, -1 for others. A row has a
+    block's terms by the terms from the block's first one on (the matrix is symmetric), and ``n`` the passages.
+    A task holds ``STRIP_CELLS`` cells of the matrix at most; a larger one is made strip by strip.
+    """
+    size = len(weights)
+    strip = max(STRIP_CELLS // size // TERM_BLOCK, 1) * TERM_BLOCK
+
+    def of_strip(low: int) -> DataFrame:
+        def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            sums, passages = np.zeros((min(strip, size - low), size)), 0
             for batch in batches:
-                for cell in batch.column(0):
-                    passage, term, n = _passage_terms(cell.as_py(), items.terms)
-                    held.append((passage + passages) * size + term)
-                    passages += n
-                    filled += len(term)
-                    if filled > SKETCH_CELLS:
-                        add_held(held, total, draw)
-                        held, filled = [], 0
-            add_held(held, total, draw)
-            if passages:
+                for data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    sizes, terms, counts = map(np.frombuffer, data, ("u1", "<u4", "u1"))
+                    passages += len(sizes)
+                    term = places[terms]
+                    own = term >= 0
+                    passage = np.repeat(np.arange(len(sizes)), sizes)[own]
+                    term, counts = term[own], counts[own].astype(np.float64)
+                    sizes = np.bincount(passage, minlength=len(sizes))
+                    # Some thousand cells at a time: a passage has up to PASSAGE products for each.
+                    ends = np.cumsum(sizes)
+                    cuts = np.unique(np.searchsorted(ends, np.arange(0, len(term) + PAIR_CELLS, PAIR_CELLS)))
+                    for a, b in zip(cuts, [*cuts[1:], len(sizes)], strict=True):
+                        if a < b:
+                            part = slice(ends[a] - sizes[a], ends[b - 1])
+                            add_products(sums, low, term[part], counts[part], sizes[a:b], weights)
+            if not passages:
+                return
+            for first in range(0, len(sums), TERM_BLOCK):
+                data = sums[first : first + TERM_BLOCK, low + first :].astype("<f8").tobytes()
                 yield pa.RecordBatch.from_pydict(
                     {
-                        "block": pa.array(range(blocks), pa.int32()),
-                        "sums": pa.array(
-                            [total[s : s + block].tobytes() for s in range(0, size, block)], pa.binary()
-                        ),
-                        "n": pa.array([passages, *[0] * (blocks - 1)], pa.int64()),
+                        "block": pa.array([(low + first) // TERM_BLOCK], pa.int32()),
+                        "sums": pa.array([data], pa.binary()),
+                        "n": pa.array([passages], pa.int64()),
                     }
                 )
 
-        parts = sample.select(text).mapInArrow(sketch, "block int, sums binary, n long")
-        dealt = parts.repartition(min(blocks, 32), "block")
-        summed = dealt.mapInArrow(add, "block int, sums binary, n long").collect()  # a row for a block
-        passages = max(sum(row["n"] for row in summed), len(items.ids))
-        own, total = items.counts(), np.zeros((size, width), np.float32)
-        cells = np.flatnonzero(own)
-        part(cells, own.ravel()[cells], draw, total)
-        total = total.astype(np.float64) * (ITEM_WEIGHT * passages / len(items.ids))
-        for row in summed:
+        return cells.mapInArrow(multiply, "block int, sums binary, n long")
+
+    strips = [of_strip(low) for low in range(0, size, strip)]
+    return stored(_added(reduce(DataFrame.unionAll, strips), -(-size // TERM_BLOCK)))
+
+
+def latent_basis(
+    cells: DataFrame, places: np.ndarray, items: Items, weights: np.ndarray, seed: int = 11
+) -> np.ndarray:
+    """An orthonormal basis (terms by RANK) of the leading right singular vectors.
+
+    A holds the normalised TF-IDF passages of all documents and the items, weighted. Each round multiplies A'A
+    with a matrix, at first a random one and then the orthonormal factor of the last product. The part of
+    the documents is multiplied on the cluster by blocks of terms.
+    """
+    size, width, block = len(items.terms), RANK + OVERSAMPLE, TERM_BLOCK
+    blocks = -(-size // block)
+    products = term_products(cells, places, weights)
+    passages = max(products.agg(F.max("n")).first()[0] or 0, len(items.ids))
+    own = items.counts() * weights
+    own /= np.maximum(np.sqrt((own**2).sum(axis=1)), 1e-9)[:, None]
+    draw = np.random.default_rng(seed).standard_normal((size, width), dtype=np.float32)
+    for _ in range(ROUNDS):
+
+        def multiply(
+            batches: Iterator[pa.RecordBatch], draw: np.ndarray = draw
+        ) -> Iterator[pa.RecordBatch]:
+            total = np.zeros((size, draw.shape[1]))
+            found = False
+            for batch in batches:
+                for number, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    first, found = number * block, True
+                    part = np.frombuffer(data, "<f8").reshape(-1, size - first)
+                    rows = len(part)
+                    # The block's own square has only its upper half; what follows stands for both halves.
+                    square = np.triu(part[:, :rows], 1)
+                    total[first : first + rows] += part @ draw[first:] + square.T @ draw[first : first + rows]
+                    total[first + rows :] += part[:, rows:].T @ draw[first : first + rows]
+            if found:
+                for number in range(blocks):
+                    data = total[number * block : (number + 1) * block].astype("<f8").tobytes()
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "block": pa.array([number], pa.int32()),
+                            "sums": pa.array([data], pa.binary()),
+                            "n": pa.array([0], pa.int64()),
+                        }
+                    )
+
+        parts = products.select("block", "sums").mapInArrow(multiply, "block int, sums binary, n long")
+        total = (own.T @ (own @ draw)) * (ITEM_WEIGHT * passages / len(items.ids))
+        for row in _added(parts, blocks).collect():  # a row for a block
             matrix = np.frombuffer(row["sums"], "<f8").reshape(-1, width)
             total[row["block"] * block :][: len(matrix)] += matrix
         draw = np.linalg.svd(total, full_matrices=False)[0].astype(np.float32)
@@ -470,17 +553,17 @@ def fitted(
     docs: DataFrame, benchmark: DataFrame, text: str, item_key: str, item_text: str
 ) -> Iterator[list[Searcher]]:
     """The searchers of one pass after the other, one for each block of the benchmark."""
-    blocks, sample = read_items(benchmark, item_key, item_text), None
+    blocks = read_items(benchmark, item_key, item_text)
     while together := list(islice(blocks, BLOCKS_PER_PASS)):
         union = {w: i for i, w in enumerate(sorted({w for b in together for w in b.terms}))}
-        weights, passages = term_weights(docs, text, union)
-        if sample is None:
-            share = min(1.0, SAMPLE_PASSAGES / max(passages, 1))
-            sample = stored(docs.select(text).where(hash_unit(F.col(text)) < share))
+        cells = passage_cells(docs, text, union)
+        weights = term_weights(cells, len(union))
         searchers = []
         for items in together:
-            own = weights[[union[w] for w in items.terms]]
-            searchers.append(Searcher(items, own, latent_basis(sample, text, items, own)))
+            numbers = [union[w] for w in items.terms]
+            own, places = weights[numbers], np.full(len(union), -1, np.int32)
+            places[numbers] = np.arange(len(numbers))
+            searchers.append(Searcher(items, own, latent_basis(cells, places, items, own)))
         yield searchers
 
 

@@ -212,3 +212,39 @@ def test_scripts_without_blanks(spark):
     docs = spark.createDataFrame([(i, sign(60) + t + sign(60)) for i, t in items] + [(9, sign(200))], "doc_id long, text string")
     found = D.find_items(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {r["doc_id"]: [x["item_id"] for x in r["items"]] for r in found} == {**{i: [i] for i in range(5)}, 9: []}
+
+
+def test_basis_and_weights_come_from_every_passage(spark, monkeypatch):
+    draw = random.Random(4)
+    words = [f"w{i}" for i in range(90)]
+    # So many different passages that a sample of them would be taken.
+    texts = [" ".join(draw.choices(words, k=64)) for _ in range(600)] + [None, "", "none of them"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    items = D._items([0, 1], [words[:40], words[40:]])
+    numbers = D.np.array([[t.split().count(w) for w in items.terms] for t in texts[:600]], float)
+    monkeypatch.setattr(D, "ROW_CELLS", 500)
+    monkeypatch.setattr(D, "STRIP_CELLS", 64 * 90)
+    monkeypatch.setattr(D, "PAIR_CELLS", 128)
+    cells = D.passage_cells(docs, "text", items.terms)
+    weights = D.term_weights(cells, 90)
+    seen = (numbers > 0).sum(axis=0)
+    assert D.np.allclose(weights, D.np.maximum(D.np.log(602 / (seen + 1)) ** D.DAMPING, D.LEAST_WEIGHT))
+    rows = numbers * weights
+    rows /= D.np.sqrt((rows**2).sum(axis=1))[:, None]
+    exact = rows.T @ rows
+    products = D.term_products(cells, D.np.arange(90), weights).collect()
+    assert {(r["block"], r["n"]) for r in products} == {(0, 601), (1, 601)} and len(products) == 2
+    for row in products:
+        first = row["block"] * 64
+        part = D.np.frombuffer(row["sums"], "<f8").reshape(-1, 90 - first)
+        assert D.np.allclose(part, D.np.triu(exact[first : first + len(part), first:]))
+    # One round from the same random matrix spans what A'A times it spans.
+    monkeypatch.setattr(D, "ROUNDS", 1)
+    monkeypatch.setattr(D, "RANK", 20)
+    monkeypatch.setattr(D, "OVERSAMPLE", 0)
+    basis = D.latent_basis(cells, D.np.arange(90), items, weights)
+    own = items.counts() * weights
+    own /= D.np.sqrt((own**2).sum(axis=1))[:, None]
+    start = D.np.random.default_rng(11).standard_normal((90, 20), dtype=D.np.float32)
+    whole = (exact + own.T @ own * (D.ITEM_WEIGHT * 601 / 2)) @ start
+    assert D.np.allclose(basis @ (basis.T @ whole), whole, rtol=1e-3, atol=1e-2)
