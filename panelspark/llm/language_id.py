@@ -2,8 +2,8 @@
 
 A text is first given to a language family by linear machines (one family against the others); within
 the family, linear support vector machines for each pair of languages vote. Features are hashed letter
-n-grams of the whole text. The machines are trained in parallel, one Spark task for each, on a bounded
-sample of labelled rows.
+n-grams of the whole text. All labelled rows train them: rows are dealt by hash into shards of bounded size,
+each Spark task trains every machine on its shard, and a machine is the weighted mean of those of the shards.
 """
 
 from __future__ import annotations
@@ -14,7 +14,6 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,9 +24,12 @@ from panelspark.llm.linear_svm import train_svm
 UNKNOWN = "und"
 #: Buckets of the hashed n-grams.
 DIM = 1 << 15
-#: Bounds of the training sample, in rows: for each language, and in total.
-SAMPLE_ROWS = 1500
-SAMPLE_TOTAL = 24000
+#: Labelled rows of a shard, about, and the features (n-grams of a row) that a task holds to train on.
+SHARD_ROWS, SHARD_CELLS = 4096, 1 << 22
+#: Weights are added up in units of 1 / UNIT, so the order of the shards does not matter.
+UNIT = 1 << 20
+#: The weights of a machine travel in so many parts.
+SLICES = 8
 #: A pipeline rejects texts whose predicted language has a lower score.
 LEAST_SCORE = 0.3
 #: Characters hashed at a time, so memory does not grow with the length of a text.
@@ -113,7 +115,7 @@ class LanguageModel:
 
 
 def sample_position(key: Column, text: Column) -> Column:
-    """Where a row lies between 0 and 1 for the sample: by key and text, so missing keys spread."""
+    """Where a row lies between 0 and 1 among the shards: by key and text, so missing keys spread."""
     return hash_unit(F.concat_ws("|", key, F.md5(F.coalesce(text, F.lit("")))))
 
 
@@ -122,15 +124,14 @@ def fit(
     text: str = "text",
     lang: str = "lang",
     key: str = "doc_id",
-    sample_rows: int = SAMPLE_ROWS,
     families: dict[str, str] | None = None,
 ) -> LanguageModel:
     """A model from the rows of ``labelled`` with a language and a letter in the text.
 
-    About ``sample_rows`` rows of each language at most (fewer if the languages are so many that they
-    would pass ``SAMPLE_TOTAL`` together) train it, chosen by the hash of key and text (the same
-    ones on every run, and NULL or repeated keys spread); they are the only rows that leave the scan. Without labelled rows the model
-    knows no language.
+    Every such row trains it. Rows are dealt by the hash of key and text (the same on every run, and NULL or
+    repeated keys spread), so shards hold the languages as the table does. A shard's machine counts by the
+    rows of its smaller side; one that has a single side there learns nothing from it. Without labelled rows
+    the model knows no language.
     """
     known = FAMILIES if families is None else families
     rows = labelled.where(F.col(lang).isNotNull()).select(
@@ -148,59 +149,87 @@ def fit(
     if len(languages) == 1:
         return LanguageModel(members, names, [], np.zeros((1, DIM)))
 
-    most = min(sample_rows, max(1, SAMPLE_TOTAL // len(languages)))
-    # One scan for all languages: only the share that is kept differs.
-    share = F.element_at(
-        F.create_map(*[F.lit(x) for k, n in totals.items() for x in (k, min(1.0, most / n))]),
-        F.col("lang"),
+    shards = -(-sum(totals.values()) // SHARD_ROWS)
+    place = sample_position(F.col("key"), F.col(text))
+    # Sorted, so a task that runs again reads its rows in the same order.
+    dealt = (
+        rows.select(place.alias("place"), "lang", F.col(text).alias("text"))
+        .repartition(shards, "place")
+        .sortWithinPartitions("place", "lang")
     )
-    sample = rows.where(sample_position(F.col("key"), F.col(text)) < share)
-    tasks = [f"family:{f}" for f in names] + [f"pair:{a}:{b}" for a, b in pairs]
     family_of = {x: f for f, xs in members.items() for x in xs}
-    wanted = {
-        x: tasks[: len(names)] + [f"pair:{a}:{b}" for a, b in pairs if x in (a, b)]
-        for x in languages
-    }
+    machines = len(names) + len(pairs)
+    part = DIM // SLICES
+
+    def sides(machine: int, spoken: list[str]) -> np.ndarray:
+        """For each row, +1 or -1; 0 if the machine is not concerned."""
+        if machine < len(names):
+            return np.array([1.0 if family_of[x] == names[machine] else -1.0 for x in spoken])
+        first, second = pairs[machine - len(names)]
+        return np.array([(x == first) * 1.0 - (x == second) * 1.0 for x in spoken])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, counts = np.zeros((machines, DIM), np.int64), np.zeros(machines, np.int64)
+        spoken, features, cells = [], [], 0
+
+        def train() -> None:
+            for machine in range(machines):
+                signs = sides(machine, spoken)
+                least = int(min((signs > 0).sum(), (signs < 0).sum()))
+                if least:
+                    own = np.flatnonzero(signs)
+                    weights = train_svm([features[i] for i in own], signs[own], DIM)
+                    sums[machine] += np.rint(weights * (least * UNIT)).astype(np.int64)
+                    counts[machine] += least
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for language, key_, body in zip(batch["lang"], batch["key"], batch[text], strict=True):
+            for language, cell in zip(batch.column("lang"), batch.column("text"), strict=True):
+                body = cell.as_py()
                 if not has_letter(body):
                     continue
-                index, values = ngram_features(body)
-                packed = index.astype("<u4").tobytes(), values.astype("<f4").tobytes()
-                out += [(task, language, key_, *packed) for task in wanted[language]]
-            yield pd.DataFrame(out, columns=["task", "lang", "key", "index", "vals"])
-
-    def learn(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["lang", "key", "index"])
-        kind, _, target = group["task"].iloc[0].partition(":")
-        if kind == "family":
-            signs = [1.0 if family_of[x] == target else -1.0 for x in group["lang"]]
-        else:
-            first = target.partition(":")[0]
-            signs = [1.0 if x == first else -1.0 for x in group["lang"]]
-        rows_ = [
-            (np.frombuffer(i, "<u4"), np.frombuffer(v, "<f4").astype(np.float64))
-            for i, v in zip(group["index"], group["vals"], strict=True)
-        ]
-        weights = train_svm(rows_, np.array(signs), DIM)
-        return pd.DataFrame(
-            {"task": [group["task"].iloc[0]], "weights": [weights.astype("<f4").tobytes()]}
-        )
-
-    trained = (
-        sample.mapInPandas(expand, "task string, lang string, key string, index binary, vals binary")
-        .groupBy("task")
-        .applyInPandas(learn, "task string, weights binary")
-        .collect()
-    )
-    by_task = {r["task"]: np.frombuffer(r["weights"], "<f4") for r in trained}
-    nothing = np.zeros(DIM, np.float32)
-    return LanguageModel(
-        members, names, pairs, np.stack([by_task.get(t, nothing) for t in tasks]).astype(np.float64)
-    )
+                spoken.append(language.as_py())
+                features.append(ngram_features(body))
+                cells += len(features[-1][0])
+                if cells > SHARD_CELLS:
+                    train()
+                    spoken, features, cells = [], [], 0
+        train()
+        for machine in np.flatnonzero(counts).tolist():
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "machine": pa.array([machine] * SLICES, pa.int32()),
+                    "slice": pa.array(range(SLICES), pa.int32()),
+                    "sums": pa.array([x.tobytes() for x in sums[machine].reshape(SLICES, part)], pa.binary()),
+                    "n": pa.array([counts[machine]] * SLICES, pa.int64()),
+                }
+            )
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        counts: dict[tuple[int, int], int] = {}
+        for batch in batches:
+            for machine, piece, data, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = machine, piece
+                sums[at] = sums.get(at, 0) + np.frombuffer(data, np.int64)
+                counts[at] = counts.get(at, 0) + n
+        for at, total in sums.items():
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "machine": pa.array([at[0]], pa.int32()),
+                    "slice": pa.array([at[1]], pa.int32()),
+                    "sums": pa.array([total.tobytes()], pa.binary()),
+                    "n": pa.array([counts[at]], pa.int64()),
+                }
+            )
+
+    kind = "machine int, slice int, sums binary, n long"
+    parts = dealt.select("lang", "text").mapInArrow(learn, kind)
+    added = parts.repartition(min(machines * SLICES, 32), "machine", "slice").mapInArrow(add, kind)
+    weights = np.zeros((machines, DIM))
+    for row in added.collect():  # one for each machine and slice
+        piece = slice(row["slice"] * part, (row["slice"] + 1) * part)
+        weights[row["machine"], piece] = np.frombuffer(row["sums"], np.int64) / (row["n"] * float(UNIT))
+    return LanguageModel(members, names, pairs, weights)
 
 
 def predict(text: Column, model: LanguageModel) -> Column:

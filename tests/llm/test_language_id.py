@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from panelspark.llm import language_id
 from panelspark.llm.language_id import (
     fit,
     identify,
@@ -81,3 +82,20 @@ def test_sample_spreads_rows_without_a_key(spark):
     place = sample_position(F.col("key"), F.col("text"))
     assert 60 < df.where(place < 0.25).count() < 140
     assert df.where(place.isNull() | (place >= 1)).count() == 0
+
+
+def test_every_labelled_row_trains(spark):
+    # Each row is one letter that no other row has, so only rows that train are known.
+    rows = [(i, chr(0x4E00 + i), "en" if i % 2 else "de") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = identify(df, fit(df))
+    assert found.where("lang_pred = lang").count() >= 0.99 * len(rows)
+
+
+def test_shards_do_not_depend_on_the_order_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "SHARD_ROWS", 50)
+    rows = [(i, f"{'the' if i % 2 else 'der'} {chr(97 + i % 26)}{i}", "en" if i % 2 else "de") for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit(df)
+    assert (model.weights == fit(df.orderBy(F.desc("doc_id")).repartition(7)).weights).all()
+    assert model.predict("the")[0] == "en" and model.predict("der")[0] == "de"
